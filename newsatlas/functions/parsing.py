@@ -52,10 +52,9 @@ def feed_timestamp(packed: Column) -> Column:
 def feed_timestamp_prefix(packed: Column) -> Column:
     """As :func:`feed_timestamp`, but digits after the fourteenth are ignored instead of fatal."""
     n = packed.try_cast("bigint")
-    first = n
-    for extra in range(1, 6):  # a 64-bit integer has at most 19 digits; the longest test is outermost
-        first = F.when(n >= F.lit(10 ** (13 + extra)), _div(n, 10**extra)).otherwise(first)
-    return _timestamp_of(first)
+    # Only over-long values take the way through text.
+    shortened = n.cast("string").substr(1, 14).try_cast("bigint")
+    return _timestamp_of(F.when(n < 10**14, n).otherwise(shortened))
 
 
 def feed_year(packed: Column) -> Column:

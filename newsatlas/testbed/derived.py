@@ -6,7 +6,7 @@ the same tables. Numbers are multiples of 1/4 or 1/8: sums and averages do not d
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsatlas.feed import Feed
 
@@ -27,143 +27,134 @@ RELIGIONS = {
 ETHNICITIES = {1: ["ara", "kur", None, None, "tam"], 2: [None, "ara", None, "slv"]}
 
 
-def pick(values: Sequence[str | None], index: Column) -> Column:
+def pick(values: Sequence[str | None], index: str) -> str:
     """Element of a fixed list, the index wrapping around."""
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), (index % len(values)).cast("int"))
+    items = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return f"get(array({items}), cast(({index}) % {len(values)} AS int))"
 
 
-def unless(divisor: int, key: Column, value: Column) -> Column:
+def unless(divisor: int, key: str, value: str) -> str:
     """NULL for every ``divisor``-th key."""
-    return F.when(key % divisor != 0, value)
+    return f"CASE WHEN {key} % {divisor} <> 0 THEN {value} END"
 
 
-def _text(*parts) -> Column:
-    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expression} AS {name}" for name, expression in columns.items()])
 
 
-def _latitude(j: Column) -> Column:
-    return (7 * j % 561) / F.lit(4.0) - 70
+def _latitude(j: str) -> str:
+    return f"((7 * ({j}) % 561) / 4D - 70)"
 
 
-def _longitude(j: Column) -> Column:
-    return (13 * j % 1441) / F.lit(4.0) - 180
+def _longitude(j: str) -> str:
+    return f"((13 * ({j}) % 1441) / 4D - 180)"
 
 
 def news_events(base: DataFrame) -> DataFrame:
     """One event per base row; every fiftieth comes again a day later with another code and link."""
-    k, u = F.col("event_id"), F.col("user_id")
-    kind = F.col("event_type")
-    again = F.when(k % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = base.select("event_id", "ts", "user_id", "event_type", F.explode(again).alias("again"))
-    moment = F.col("ts") + F.make_dt_interval(F.col("again"))
-    quad = F.lit(None).cast("int")
-    for name, value in QUAD_CLASS.items():
-        quad = F.when(kind == name, value).otherwise(quad)
-    goldstein = (k % 41) / F.lit(4.0) * F.when(kind.isin("click", "error"), -1.0).otherwise(1.0)
-    root = F.lpad((1 + k % 20).cast("string"), 2, "0")
-    base_code = _text(root, (k % 4).cast("string"))
-    suffix = F.col("again").cast("string")
+    rows = base.selectExpr(
+        "event_id AS k",
+        "user_id AS u",
+        "event_type AS kind",
+        "ts",
+        "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS again",
+    ).withColumn("ts", F.expr("ts + make_dt_interval(again)"))
+    quad = " ".join(f"WHEN '{name}' THEN {value}" for name, value in QUAD_CLASS.items())
+    root = "lpad(cast(1 + k % 20 AS string), 2, '0')"
     columns = {
-        "GLOBALEVENTID": k,
-        "SQLDATE": F.date_format(moment, "yyyyMMdd").cast("bigint"),
-        "QuadClass": quad,
-        "ActionGeo_CountryCode": pick(COUNTRIES, u),
-        "ActionGeo_FullName": unless(13, k, _text("Place ", u.cast("string"))),
-        "ActionGeo_Lat": unless(17, k, _latitude(k)),
-        "ActionGeo_Long": unless(17, k, _longitude(k)),
-        "GoldsteinScale": unless(29, k, goldstein),
-        "AvgTone": unless(31, k, (11 * k % 161) / F.lit(8.0) - 10),
-        "NumMentions": (1 + k % 10).cast("int"),
-        "NumSources": (1 + k % 7).cast("int"),
-        "NumArticles": (1 + k % 9).cast("int"),
-        "EventRootCode": root,
-        "EventBaseCode": unless(37, k, base_code),
-        "EventCode": _text(base_code, suffix),
-        "CAMEOCodeDescription": unless(11, k, _text("desc ", (1 + k % 20).cast("string"))),
-        "SOURCEURL": unless(
-            19, k, _text("https://news.example/", k.cast("string"), "/", suffix)
+        "GLOBALEVENTID": "k",
+        "SQLDATE": "cast(date_format(ts, 'yyyyMMdd') AS bigint)",
+        "QuadClass": f"CASE kind {quad} END",
+        "ActionGeo_CountryCode": pick(COUNTRIES, "u"),
+        "ActionGeo_FullName": unless(13, "k", "concat('Place ', u)"),
+        "ActionGeo_Lat": unless(17, "k", _latitude("k")),
+        "ActionGeo_Long": unless(17, "k", _longitude("k")),
+        "GoldsteinScale": unless(
+            29, "k", "(k % 41) / 4D * CASE WHEN kind IN ('click', 'error') THEN -1D ELSE 1D END"
         ),
+        "AvgTone": unless(31, "k", "(11 * k % 161) / 8D - 10"),
+        "NumMentions": "cast(1 + k % 10 AS int)",
+        "NumSources": "cast(1 + k % 7 AS int)",
+        "NumArticles": "cast(1 + k % 9 AS int)",
+        "EventRootCode": root,
+        "EventBaseCode": unless(37, "k", f"concat({root}, k % 4)"),
+        "EventCode": f"concat({root}, k % 4, again)",
+        "CAMEOCodeDescription": unless(11, "k", "concat('desc ', 1 + k % 20)"),
+        "SOURCEURL": unless(19, "k", "concat('https://news.example/', k, '/', again)"),
     }
-    nation_index = {1: u, 2: k % 8 + 3 * (u % 5)}
-    type_index = {1: (k, k % 5, k % 3 + 4), 2: (u, u % 7, u % 2 + 4)}
-    for n, key in ((1, k), (2, u)):
-        columns[f"Actor{n}Name"] = pick(NAMES[n], k)
-        columns[f"Actor{n}Code"] = pick(CODES[n], k)
+    nation_index = {1: "u", 2: "k % 8 + 3 * (u % 5)"}
+    type_index = {1: ("k", "k % 5", "k % 3 + 4"), 2: ("u", "u % 7", "u % 2 + 4")}
+    for n, key in ((1, "k"), (2, "u")):
+        columns[f"Actor{n}Name"] = pick(NAMES[n], "k")
+        columns[f"Actor{n}Code"] = pick(CODES[n], "k")
         columns[f"Actor{n}CountryCode"] = pick(NATIONS, nation_index[n])
         for t in (1, 2, 3):
             columns[f"Actor{n}Type{t}Code"] = pick(TYPES, type_index[n][t - 1])
         for r in (1, 2):
             columns[f"Actor{n}Religion{r}Code"] = pick(RELIGIONS[n][r - 1], key)
         columns[f"Actor{n}EthnicCode"] = pick(ETHNICITIES[n], key)
-    return rows.select([c.alias(name) for name, c in columns.items()])
+    return _select(rows, columns)
 
 
 def news_mentions(base: DataFrame) -> DataFrame:
     """Two mentions per base row: one in a burst of twenty, one of fifty events mentioned all along."""
-    k, u = F.col("event_id"), F.col("user_id")
-    time = (
-        F.when(k % 101 == 0, F.lit(20249905120000))
-        .when(k % 103 == 0, F.lit(None))
-        .otherwise(F.date_format("ts", "yyyyMMddHHmmss").cast("bigint"))
-    )
-    source = (
-        F.when(k % 23 == 0, F.lit(None))
-        .when(k % 47 == 0, "")
-        .otherwise(_text("src", (u % 40).cast("string")))
+    columns = {
+        "GLOBALEVENTID": "explode(array(event_id div 20, event_id % 50))",
+        "MentionTimeDate": (
+            "CASE WHEN event_id % 101 = 0 THEN 20249905120000 WHEN event_id % 103 = 0 THEN NULL "
+            "ELSE cast(date_format(ts, 'yyyyMMddHHmmss') AS bigint) END"
+        ),
+        "MentionSourceName": (
+            "CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 47 = 0 THEN '' "
+            "ELSE concat('src', user_id % 40) END"
+        ),
+        "MentionDocTone": unless(31, "event_id", "(5 * event_id % 161) / 8D - 10"),
+    }
+    return _select(base, columns)
+
+
+def _coordinate(value: str, j: str) -> str:
+    return (
+        f"CASE ({j}) % 6 WHEN 0 THEN 'null' WHEN 1 THEN '' WHEN 2 THEN 'n/a' "
+        f"ELSE cast({value} AS string) END"
     )
-    burst = F.floor(k / F.lit(20)).cast("bigint")
-    return base.select(
-        F.explode(F.array(burst, k % 50)).alias("GLOBALEVENTID"),
-        time.alias("MentionTimeDate"),
-        source.alias("MentionSourceName"),
-        unless(31, k, (5 * k % 161) / F.lit(8.0) - 10).alias("MentionDocTone"),
+
+
+def _place(j: str, extra: str) -> str:
+    return (
+        f"concat('4#Place ', {j}, '#', {pick(PLACES, j)}, '#A1#{extra}', "
+        f"{_coordinate(_latitude(j), j)}, '#', {_coordinate(_longitude(j), j)}, '#F', {j})"
     )
 
 
 def news_gkg(documents: DataFrame) -> DataFrame:
     """One record per document, with every oddity of the delimited columns."""
-    i = F.col("doc_id")
-
-    def coordinate(value: Column, j: Column) -> Column:
-        return (
-            F.when(j % 6 == 0, "null").when(j % 6 == 1, "").when(j % 6 == 2, "n/a")
-            .otherwise(value.cast("string"))
-        )
-
-    def place(j: Column, extra: str) -> Column:
-        name = j.cast("string")
-        return _text(
-            "4#Place ", name, "#", pick(PLACES, j), "#A1#", extra,
-            coordinate(_latitude(j), j), "#", coordinate(_longitude(j), j), "#F", name,
-        )
-
-    v2 = place(i, "A2#")
-    v1 = place(i + 3, "")
-    theme = _text("TAX_", (i % 9).cast("string"))
-    return documents.select(
-        _text("20240101-", i.cast("string")).alias("GKGRECORDID"),
-        _text(
-            (2023 + i % 2).cast("string"), "01", F.lpad((1 + i % 28).cast("string"), 2, "0"), "120000"
-        ).cast("bigint").alias("DATE"),
-        F.when(i % 5 == 0, F.lit(None))
-        .when(i % 5 == 1, "")
-        .when(i % 5 == 2, _text(v2, ";"))
-        .when(i % 5 == 3, _text(v2, ";", place(i + 7, "A2#")))
-        .otherwise(v2)
-        .alias("V2Locations"),
-        F.when(i % 4 == 0, F.lit(None)).when(i % 4 == 1, _text(v1, ";")).otherwise(v1).alias("Locations"),
-        F.when(i % 6 == 0, F.lit(None))
-        .when(i % 6 == 1, "")
-        .otherwise(
-            _text(theme, ",", F.col("n_chars").cast("string"), ";CRISIS_", (i % 5).cast("string"), ",12;")
-        )
-        .alias("V2Themes"),
-        unless(7, i, _text(theme, ";ELECTION;")).alias("Themes"),
-        unless(
-            8, i,
-            _text(F.col("source"), " Agency; ", F.upper("source"), " agency;", F.col("lang"), " Press;"),
-        ).alias("Organizations"),
-    )
+    v2, v2_next, v1 = _place("doc_id", "A2#"), _place("doc_id + 7", "A2#"), _place("doc_id + 3", "")
+    theme = "concat('TAX_', doc_id % 9)"
+    columns = {
+        "GKGRECORDID": "concat('20240101-', doc_id)",
+        "DATE": (
+            "cast(concat(2023 + doc_id % 2, '01', lpad(cast(1 + doc_id % 28 AS string), 2, '0'), "
+            "'120000') AS bigint)"
+        ),
+        "V2Locations": (
+            f"CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat({v2}, ';') "
+            f"WHEN 3 THEN concat({v2}, ';', {v2_next}) ELSE {v2} END"
+        ),
+        "Locations": (
+            f"CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN concat({v1}, ';') ELSE {v1} END"
+        ),
+        "V2Themes": (
+            "CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' "
+            f"ELSE concat({theme}, ',', n_chars, ';CRISIS_', doc_id % 5, ',12;') END"
+        ),
+        "Themes": unless(7, "doc_id", f"concat({theme}, ';ELECTION;')"),
+        "Organizations": unless(
+            8, "doc_id",
+            "concat(source, ' Agency; ', upper(source), ' agency;', lang, ' Press;')",
+        ),
+    }
+    return _select(documents, columns)
 
 
 def derived_feed(spark: SparkSession, sf_dir: str) -> Feed:
