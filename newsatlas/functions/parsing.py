@@ -2,7 +2,8 @@
 
 The dates arrive as integers (``yyyyMMdd``, ``yyyyMMddHHmmss``). Taking them apart with integer
 arithmetic is several times cheaper per row than formatting the integer and parsing the text, and
-stays inside generated code; the guards below accept exactly what the text patterns accept.
+stays inside generated code. The guards below accept what the text patterns accept, but for negative
+numbers: no packed date is one, so they are NULL.
 Timestamps are read in the session time zone, which the feed expects to be UTC.
 """
 
@@ -40,8 +41,8 @@ def _timestamp_of(n: Column) -> Column:
         _digits(n, 10, 4), _digits(n, 8, 2), _digits(n, 6, 2),
         _digits(n, 4, 2), _digits(n, 2, 2), seconds.cast("decimal(16,6)"),
     )
-    # Below 10^10 the year is 0000; sixty seconds would roll over instead of failing.
-    return F.when((n >= 10**10) & (n < 10**14) & (seconds < 60), moment)
+    # Sixty seconds would roll over to the next minute instead of failing.
+    return F.when((n >= 0) & (n < 10**14) & (seconds < 60), moment)
 
 
 def feed_timestamp(packed: Column) -> Column:
