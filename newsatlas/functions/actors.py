@@ -10,12 +10,10 @@ CATEGORY_CODES = {
 }
 
 
-def actor_category(*type_codes: Column) -> Column:
-    """First category any of the codes belongs to; NULL when none does."""
-    category = F.lit(None).cast("string")
-    for name, codes in reversed(CATEGORY_CODES.items()):
-        known = F.lit(False)
-        for code in type_codes:
-            known = known | F.coalesce(code.isin(codes.split()), F.lit(False))
-        category = F.when(known, F.lit(name)).otherwise(category)
-    return category
+def actor_category(*type_codes: str) -> Column:
+    """First category any of the code columns belongs to; NULL when none does."""
+    cases = []
+    for name, codes in CATEGORY_CODES.items():
+        listed = ", ".join(repr(code) for code in codes.split())
+        cases.append(f"WHEN {' OR '.join(f'{t} IN ({listed})' for t in type_codes)} THEN '{name}'")
+    return F.expr(f"CASE {' '.join(cases)} END")

@@ -5,57 +5,55 @@ arithmetic is several times cheaper per row than formatting the integer and pars
 stays inside generated code. The guards below accept what the text patterns accept, but for negative
 numbers: no packed date is one, so they are NULL.
 Timestamps are read in the session time zone, which the feed expects to be UTC.
+
+Builders that refer to their input many times take it as SQL text (a column name, as a rule) and hand
+Spark one expression to parse: building the same tree call by call from Python takes far longer.
 """
 
 from pyspark.sql import Column, functions as F
 
 # Every character Python counts as white space, by rule rather than by list.
-_WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 _PLAIN_NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 _STRICT_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def _div(number: Column, divisor: int) -> Column:
-    """Integer quotient, exact over the whole 64-bit range."""
-    return F.call_function("div", number, F.lit(divisor))
-
-
-def _digits(number: Column, skip: int, width: int) -> Column:
-    """The ``width`` decimal digits of ``number`` left of its ``skip`` lowest ones, as an int."""
-    return (_div(number, 10**skip) % F.lit(10**width)).cast("int")
+def _digits(number: str, skip: int, width: int) -> str:
+    """SQL for the ``width`` decimal digits of ``number`` left of its ``skip`` lowest ones."""
+    return f"cast({number} div {10**skip} % {10**width} AS int)"
 
 
-def feed_date(packed: Column) -> Column:
+def feed_date(packed: str) -> Column:
     """``yyyyMMdd`` integer to DATE; NULL when it is not a real eight-digit date."""
-    n = packed.try_cast("bigint")
-    moment = F.try_make_timestamp_ntz(
-        _digits(n, 4, 4), _digits(n, 2, 2), _digits(n, 0, 2), F.lit(0), F.lit(0), F.lit(0)
+    n = f"try_cast({packed} AS bigint)"
+    return F.expr(
+        f"CASE WHEN {n} BETWEEN 10000000 AND 99999999 THEN cast(try_make_timestamp_ntz("
+        f"{_digits(n, 4, 4)}, {_digits(n, 2, 2)}, {_digits(n, 0, 2)}, 0, 0, 0) AS date) END"
     )
-    return F.when(n.between(10_000_000, 99_999_999), moment.cast("date"))
 
 
-def _timestamp_of(n: Column) -> Column:
+def _timestamp_of(n: str) -> Column:
     seconds = _digits(n, 0, 2)
-    moment = F.try_make_timestamp(
-        _digits(n, 10, 4), _digits(n, 8, 2), _digits(n, 6, 2),
-        _digits(n, 4, 2), _digits(n, 2, 2), seconds.cast("decimal(16,6)"),
-    )
     # Sixty seconds would roll over to the next minute instead of failing.
-    return F.when((n >= 0) & (n < 10**14) & (seconds < 60), moment)
+    return F.expr(
+        f"CASE WHEN {n} >= 0 AND {n} < {10**14} AND {seconds} < 60 THEN try_make_timestamp("
+        f"{_digits(n, 10, 4)}, {_digits(n, 8, 2)}, {_digits(n, 6, 2)}, "
+        f"{_digits(n, 4, 2)}, {_digits(n, 2, 2)}, cast({seconds} AS decimal(16,6))) END"
+    )
 
 
-def feed_timestamp(packed: Column) -> Column:
+def feed_timestamp(packed: str) -> Column:
     """``yyyyMMddHHmmss`` integer to TIMESTAMP; NULL when unreal or longer than 14 digits."""
-    return _timestamp_of(packed.try_cast("bigint"))
+    return _timestamp_of(f"try_cast({packed} AS bigint)")
 
 
-def feed_timestamp_prefix(packed: Column) -> Column:
+def feed_timestamp_prefix(packed: str) -> Column:
     """As :func:`feed_timestamp`, but digits after the fourteenth are ignored instead of fatal."""
-    n = packed.try_cast("bigint")
+    n = f"try_cast({packed} AS bigint)"
     # Only over-long values take the way through text.
-    shortened = n.cast("string").substr(1, 14).try_cast("bigint")
-    return _timestamp_of(F.when(n < 10**14, n).otherwise(shortened))
+    shortened = f"try_cast(substr(cast({n} AS string), 1, 14) AS bigint)"
+    return _timestamp_of(f"(CASE WHEN {n} < {10**14} THEN {n} ELSE {shortened} END)")
 
 
 def feed_year(packed: Column) -> Column:
@@ -82,7 +80,7 @@ def slice_start(moment: Column, delay_hours: int = 6, minutes: int = 15) -> Colu
 
 def trim_all(text: Column) -> Column:
     """Strip every Unicode white-space character from both ends, not only spaces."""
-    return F.trim(text, F.lit(_WHITESPACE))
+    return F.trim(text, F.lit(WHITESPACE))
 
 
 def not_blank(text: Column) -> Column:

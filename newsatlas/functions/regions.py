@@ -1,8 +1,10 @@
 """World region of a place, from its country code or else from its coordinates."""
 
+import re
+
 from pyspark.sql import Column, functions as F
 
-from newsatlas.functions.parsing import trim_all
+from newsatlas.functions.parsing import WHITESPACE
 
 NO_REGION = "Sin región"
 
@@ -19,31 +21,34 @@ REGION_CODES = {
 }
 
 
-def _by_code(country: Column) -> Column:
-    """Set membership per region: a hash probe each, where a map literal is scanned key by key."""
-    code = F.upper(trim_all(country))
-    region = F.lit(None).cast("string")
-    for name, codes in REGION_CODES.items():
-        region = F.when(code.isin(codes.split()), F.lit(name)).otherwise(region)
-    return region
-
-
-def _by_box(lat: Column, lon: Column) -> Column:
-    # The boxes, in order of precedence; edges count as inside unless written < .
-    return (
-        F.when(F.isnan(lat) | F.isnan(lon) | lat.isNull() | lon.isNull(), NO_REGION)
-        .when(lon.between(-170, -50) & (lat >= 32), "Norteamérica")
-        .when(lon.between(-120, -30) & (lat < 32), "Latinoamérica y Caribe")
-        .when(lon.between(-90, -30) & (lat < 15), "Sudamérica")
-        .when(lon.between(-25, 60) & lat.between(35, 75), "Europa")
-        .when(lon.between(-20, 55) & lat.between(-35, 38), "África")
-        .when(lon.between(25, 180) & lat.between(-10, 80), "Asia")
-        .when(lon.between(110, 180) & lat.between(-50, 0), "Oceanía")
-        .otherwise(NO_REGION)
-    )
-
-
-def region_of(country: Column, lat: Column, lon: Column) -> Column:
-    """Region name, never NULL. A known code wins; otherwise the first box holding the point."""
-    by_code = _by_code(country)
-    return F.coalesce(by_code, _by_box(lat.try_cast("double"), lon.try_cast("double")))
+# The boxes, in order of precedence; edges count as inside unless written < .
+REGION_BOXES = (
+    ("lon BETWEEN -170 AND -50 AND lat >= 32", "Norteamérica"),
+    ("lon BETWEEN -120 AND -30 AND lat < 32", "Latinoamérica y Caribe"),
+    ("lon BETWEEN -90 AND -30 AND lat < 15", "Sudamérica"),
+    ("lon BETWEEN -25 AND 60 AND lat BETWEEN 35 AND 75", "Europa"),
+    ("lon BETWEEN -20 AND 55 AND lat BETWEEN -35 AND 38", "África"),
+    ("lon BETWEEN 25 AND 180 AND lat BETWEEN -10 AND 80", "Asia"),
+    ("lon BETWEEN 110 AND 180 AND lat BETWEEN -50 AND 0", "Oceanía"),
+)
+
+
+def region_of(country: str, lat: str, lon: str) -> Column:
+    """Region name, never NULL. A known code wins; otherwise the first box holding the point.
+
+    The arguments are SQL text, column names as a rule. Codes are looked up by set membership, a hash
+    probe per region, where a map literal would be scanned key by key. NaN lies in no box, although
+    Spark orders it above all numbers.
+    """
+    code = f"upper(trim(BOTH '{WHITESPACE}' FROM {country}))"
+    point = {"lat": f"try_cast({lat} AS double)", "lon": f"try_cast({lon} AS double)"}
+    by_code = [
+        f"WHEN {code} IN ({', '.join(repr(c) for c in codes.split())}) THEN '{name}'"
+        for name, codes in REGION_CODES.items()
+    ]
+    nowhere = f"WHEN isnan({point['lat']}) OR isnan({point['lon']}) THEN '{NO_REGION}'"
+    by_box = [
+        f"WHEN {re.sub('lat|lon', lambda axis: point[axis.group()], box)} THEN '{name}'"
+        for box, name in REGION_BOXES
+    ]
+    return F.expr(f"CASE {' '.join([*by_code, nowhere, *by_box])} ELSE '{NO_REGION}' END")

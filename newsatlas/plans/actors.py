@@ -11,7 +11,7 @@ from newsatlas.plans.common import COUNTRY, EVENT, distinct_events, is_conflict,
 def cameo_by_region(feed: Feed) -> DataFrame:
     """Event types per world region, with their share of the region's events; all text."""
     codes = ["EventRootCode", "EventBaseCode", "EventCode", "descripcion_cameo"]
-    place = region_of(F.col(COUNTRY), F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"))
+    place = region_of(COUNTRY, "ActionGeo_Lat", "ActionGeo_Long")
     counts = (
         feed.events.filter(F.col("EventCode").isNotNull() & F.col(COUNTRY).isNotNull())
         .groupBy(
@@ -39,7 +39,7 @@ def actor_type_matrix(feed: Feed) -> DataFrame:
     """Interactions between government, military and rebel actors."""
 
     def category(actor: int):
-        types = [F.col(f"Actor{actor}Type{n}Code") for n in (1, 2, 3)]
+        types = [f"Actor{actor}Type{n}Code" for n in (1, 2, 3)]
         return actor_category(*types).alias(f"actor{actor}_categoria")
 
     rows = feed.events.select(EVENT, "QuadClass", "GoldsteinScale", category(1), category(2))

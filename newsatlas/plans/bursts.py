@@ -27,7 +27,7 @@ def mention_escalation_24h(
     """
     hourly = (
         feed.mentions.filter(F.col(EVENT).isNotNull())
-        .select(EVENT, F.date_trunc("hour", feed_timestamp(F.col("MentionTimeDate"))).alias("hour"))
+        .select(EVENT, F.date_trunc("hour", feed_timestamp("MentionTimeDate")).alias("hour"))
         .filter(F.col("hour").isNotNull())
         .groupBy(EVENT, "hour")
         .agg(F.count("*").alias("menciones_hora"))
@@ -56,7 +56,7 @@ def mention_escalation_24h(
     )
     return described.select(
         EVENT,
-        day_text(feed_date(F.col("SQLDATE"))).alias("fecha_evento"),
+        day_text(feed_date("SQLDATE")).alias("fecha_evento"),
         F.col("ActionGeo_CountryCode").alias("pais"),
         "EventCode",
         "CAMEOCodeDescription",
@@ -82,7 +82,7 @@ def breaking_news(
         feed.mentions.filter(F.col(EVENT).isNotNull())
         .select(
             EVENT,
-            feed_timestamp_prefix(F.col("MentionTimeDate")).alias("moment"),
+            feed_timestamp_prefix("MentionTimeDate").alias("moment"),
             F.coalesce("MentionSourceName", F.lit("SIN_FUENTE")).alias("source"),
         )
         .filter(F.col("moment").isNotNull())
@@ -119,7 +119,7 @@ def breaking_news(
     return described.select(
         EVENT,
         mention_time_text(F.col("first")).alias("primera_mencion"),
-        day_text(feed_date(F.col("SQLDATE"))).alias("fecha_evento"),
+        day_text(feed_date("SQLDATE")).alias("fecha_evento"),
         F.col("ActionGeo_CountryCode").alias("pais"),
         "EventCode",
         "CAMEOCodeDescription",

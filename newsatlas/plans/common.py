@@ -23,7 +23,7 @@ def distinct_events():
 
 
 def event_day():
-    return feed_date(F.col("SQLDATE"))
+    return feed_date("SQLDATE")
 
 
 def or_default(column: str, default: str):

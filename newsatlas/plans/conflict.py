@@ -37,7 +37,7 @@ def conflict_heatmap(feed: Feed) -> DataFrame:
     return groups.select(
         day_text(F.col("day")).alias("fecha"),
         "pais",
-        region_of(F.col("pais"), F.col("lat"), F.col("lon")).alias("region"),
+        region_of("pais", "lat", "lon").alias("region"),
         F.round("lat", 4).alias("latitud"),
         F.round("lon", 4).alias("longitud"),
         "total_eventos_conflicto",
@@ -90,7 +90,7 @@ def religion_conflicts(feed: Feed) -> DataFrame:
         first, second = codes[2 * actor - 2 : 2 * actor]
         return F.coalesce(first, second, F.lit("SIN_RELIGION")).alias(f"religion_actor{actor}")
 
-    place = region_of(F.col(COUNTRY), F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"))
+    place = region_of(COUNTRY, "ActionGeo_Lat", "ActionGeo_Long")
     return (
         feed.events.filter(is_conflict() & known)
         .groupBy(place.alias("region"), religion(1), religion(2))

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsatlas.feed import Feed
 from newsatlas.functions import (
     day_text,
+    feed_date,
     feed_year,
     field,
     leading_item,
@@ -35,8 +36,15 @@ def _record_regions(gkg: DataFrame) -> DataFrame:
             F.when(F.col("v2"), field(place, position + 1)).otherwise(field(place, position))
         )
 
-    region = region_of(field(F.col("place"), 3), coordinate(5), coordinate(6))
-    return places.select(RECORD, "anio", region.alias("continente")).distinct()
+    located = places.select(
+        RECORD,
+        "anio",
+        field(F.col("place"), 3).alias("country"),
+        coordinate(5).alias("lat"),
+        coordinate(6).alias("lon"),
+    )
+    region = region_of("country", "lat", "lon")
+    return located.select(RECORD, "anio", region.alias("continente")).distinct()
 
 
 def _record_themes(gkg: DataFrame) -> DataFrame:
@@ -89,4 +97,4 @@ def organizations_by_day(feed: Feed, top: int = 20) -> DataFrame:
 
 def _document_day() -> Column:
     """Day of a record's date, which has a time of day behind it or not."""
-    return F.try_to_date(F.col("DATE").cast("string").substr(1, 8), "yyyyMMdd")
+    return feed_date("substr(cast(DATE AS string), 1, 8)")

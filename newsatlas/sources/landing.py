@@ -85,7 +85,7 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
 
 def with_day(df: DataFrame, table: str) -> DataFrame:
     """Add ``event_date``, the day the table is partitioned by."""
-    packed = F.col(DAY_SOURCE[table]).cast("string").substr(1, 8)
+    packed = f"substr(cast({DAY_SOURCE[table]} AS string), 1, 8)"
     return df.withColumn("event_date", feed_date(packed))
 
 

@@ -25,7 +25,7 @@ def escalation_windows(mentions: DataFrame, delay: str = "1 hour") -> DataFrame:
     """
     hourly = (
         mentions.filter(F.col(EVENT).isNotNull())
-        .select(EVENT, feed_timestamp(F.col("MentionTimeDate")).alias("moment"))
+        .select(EVENT, feed_timestamp("MentionTimeDate").alias("moment"))
         .filter(F.col("moment").isNotNull())
         .withWatermark("moment", delay)
         .groupBy(F.window("moment", "1 hour"), EVENT)
@@ -57,7 +57,7 @@ def breaking_hours(
         mentions.filter(F.col(EVENT).isNotNull())
         .select(
             EVENT,
-            feed_timestamp_prefix(F.col("MentionTimeDate")).alias("moment"),
+            feed_timestamp_prefix("MentionTimeDate").alias("moment"),
             F.coalesce("MentionSourceName", F.lit("SIN_FUENTE")).alias("source"),
         )
         .filter(F.col("moment").isNotNull())

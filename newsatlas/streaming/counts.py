@@ -22,5 +22,5 @@ def slice_counts(
 
 def first_seen(events: DataFrame, delay: str = "6 hours") -> DataFrame:
     """Each event id once, as long as its repeats come within ``delay``; state older is dropped."""
-    timed = events.withColumn("event_ts", feed_date(F.col("SQLDATE")).cast("timestamp"))
+    timed = events.withColumn("event_ts", feed_date("SQLDATE").cast("timestamp"))
     return timed.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark([EVENT])

@@ -76,7 +76,7 @@ def _gkg(body: str) -> str:
 def packed_dates(feed: Feed) -> DataFrame:
     return feed.events.select(
         EVENT,
-        fn.day_text(fn.feed_date(F.col("SQLDATE"))).alias("day"),
+        fn.day_text(fn.feed_date("SQLDATE")).alias("day"),
         fn.feed_year(F.col("SQLDATE")).alias("year"),
     )
 
@@ -92,13 +92,12 @@ _TEXT_FORMAT = "'%Y-%m-%d %H:%M:%S'"
     strftime(t + INTERVAL 1 HOUR, {_TEXT_FORMAT}) AS an_hour_later
     FROM (SELECT *, {_TS.format("MentionTimeDate")} AS t FROM news_mentions)"""))
 def packed_timestamps(feed: Feed) -> DataFrame:
-    packed = F.col("MentionTimeDate")
-    moment = fn.feed_timestamp(packed)
+    moment = fn.feed_timestamp("MentionTimeDate")
     return feed.mentions.select(
         EVENT,
         fn.mention_time_text(moment).alias("moment"),
-        fn.mention_time_text(fn.feed_timestamp(packed * 10)).alias("too_long"),
-        fn.mention_time_text(fn.feed_timestamp_prefix(packed * 10 + 7)).alias("prefix"),
+        fn.mention_time_text(fn.feed_timestamp("MentionTimeDate * 10")).alias("too_long"),
+        fn.mention_time_text(fn.feed_timestamp_prefix("(MentionTimeDate * 10 + 7)")).alias("prefix"),
         fn.mention_time_text(F.date_trunc("hour", moment)).alias("hour"),
         F.unix_timestamp(F.date_trunc("hour", moment)).alias("hour_seconds"),
         fn.mention_time_text(moment + F.expr("INTERVAL 1 HOUR")).alias("an_hour_later"),
@@ -109,14 +108,14 @@ def packed_timestamps(feed: Feed) -> DataFrame:
         TIMESTAMP '2000-01-01 00:00:00'), {_TEXT_FORMAT}) AS slice, count(*) AS n
     FROM (SELECT {_TS.format("MentionTimeDate")} AS t FROM news_mentions) WHERE t IS NOT NULL GROUP BY slice"""))
 def feed_slices(feed: Feed) -> DataFrame:
-    start = fn.slice_start(fn.feed_timestamp(F.col("MentionTimeDate")))
+    start = fn.slice_start(fn.feed_timestamp("MentionTimeDate"))
     slices = feed.mentions.select(fn.mention_time_text(start).alias("slice"))
     return slices.filter(F.col("slice").isNotNull()).groupBy("slice").agg(F.count("*").alias("n"))
 
 
 @_on_feed(_events(f"SELECT GLOBALEVENTID, EventCode, {oracle.EVENT_REGION} AS region FROM news_events"))
 def world_regions(feed: Feed) -> DataFrame:
-    region = fn.region_of(F.col(COUNTRY), F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"))
+    region = fn.region_of(COUNTRY, "ActionGeo_Lat", "ActionGeo_Long")
     return feed.events.select(EVENT, "EventCode", region.alias("region"))
 
 
@@ -163,7 +162,7 @@ def delimited_themes(feed: Feed) -> DataFrame:
     {oracle._category(2)} AS other FROM news_events"""))
 def actor_categories(feed: Feed) -> DataFrame:
     def category(n: int):
-        return fn.actor_category(*[F.col(f"Actor{n}Type{t}Code") for t in (1, 2, 3)])
+        return fn.actor_category(*[f"Actor{n}Type{t}Code" for t in (1, 2, 3)])
 
     return feed.events.select(EVENT, "EventCode", category(1).alias("one"), category(2).alias("other"))
 
@@ -249,7 +248,7 @@ _HOURLY = f"""hourly AS (SELECT GLOBALEVENTID, cast(epoch(date_trunc('hour', t))
         RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS bigint) AS last_day FROM hourly)
     SELECT *, lag(last_day) OVER (PARTITION BY GLOBALEVENTID ORDER BY second) AS before FROM rolled""")
 def rolling_day(feed: Feed) -> DataFrame:
-    moment = F.date_trunc("hour", fn.feed_timestamp(F.col("MentionTimeDate")))
+    moment = F.date_trunc("hour", fn.feed_timestamp("MentionTimeDate"))
     hourly = (
         feed.mentions.select(EVENT, F.unix_timestamp(moment).alias("second"))
         .filter(F.col("second").isNotNull())
@@ -266,7 +265,7 @@ def rolling_day(feed: Feed) -> DataFrame:
         FROM news_events GROUP BY ALL) WINDOW w AS (PARTITION BY country ORDER BY day)"""))
 def smoothed_days(feed: Feed) -> DataFrame:
     daily = feed.events.groupBy(
-        F.col(COUNTRY).alias("country"), fn.day_text(fn.feed_date(F.col("SQLDATE"))).alias("day")
+        F.col(COUNTRY).alias("country"), fn.day_text(fn.feed_date("SQLDATE")).alias("day")
     ).agg(F.count("*").alias("n"))
     return daily.select(
         "*",
@@ -511,7 +510,7 @@ _TIMED = f"""timed AS (SELECT * FROM (SELECT *, {_TS.format("MentionTimeDate")}
     SELECT strftime(s, {_TEXT_FORMAT}) AS slice, MentionSourceName, n FROM sliced
     WHERE s + INTERVAL 15 MINUTE <= (SELECT max(t) - INTERVAL 1 HOUR FROM timed)""")
 def stream_slice_counts(base: DataFrame) -> DataFrame:
-    mentions = news_mentions(base).withColumn("moment", fn.feed_timestamp(F.col("MentionTimeDate")))
+    mentions = news_mentions(base).withColumn("moment", fn.feed_timestamp("MentionTimeDate"))
     counts = streaming.slice_counts(
         mentions.filter(F.col("moment").isNotNull()), "moment", ["MentionSourceName"]
     )

@@ -18,7 +18,7 @@ def regions(spark, places):
     df = spark.createDataFrame(
         [(i, *p) for i, p in enumerate(places)], "i int, c string, lat double, lon double"
     )
-    out = df.select("i", fn.region_of(F.col("c"), F.col("lat"), F.col("lon")).alias("r"))
+    out = df.select("i", fn.region_of("c", "lat", "lon").alias("r"))
     return [r.r for r in sorted(out.collect())]
 
 
@@ -73,7 +73,7 @@ def test_dates_equal_text_parsing(spark, rows, mode):
     values += [random.randrange(19000101, 20301232) for _ in range(300)]
     spark.conf.set("spark.sql.ansi.enabled", mode)
     try:
-        ours = column(spark, rows, values, "bigint", lambda c: fn.day_text(fn.feed_date(c)))
+        ours = column(spark, rows, values, "bigint", lambda _: fn.day_text(fn.feed_date("v")))
         theirs = column(
             spark, rows, values, "bigint",
             lambda c: fn.day_text(F.try_to_date(c.cast("string"), "yyyyMMdd")),
@@ -108,7 +108,7 @@ def test_timestamps_equal_text_parsing(spark, rows):
         return F.lpad(c.try_cast("decimal(14,0)").cast("string"), 14, "0")
 
     values = _times()
-    ours = column(spark, rows, values, "bigint", lambda c: shown(fn.feed_timestamp(c)))
+    ours = column(spark, rows, values, "bigint", lambda _: shown(fn.feed_timestamp("v")))
     assert ours == column(
         spark, rows, values, "bigint", lambda c: shown(F.try_to_timestamp(text(c), pattern))
     )
@@ -120,7 +120,7 @@ def test_timestamp_prefixes_equal_text_parsing(spark, rows):
         return F.substring(F.lpad(c.cast("decimal(20,0)").cast("string"), 14, "0"), 1, 14)
 
     values = _times()
-    ours = column(spark, rows, values, "bigint", lambda c: shown(fn.feed_timestamp_prefix(c)))
+    ours = column(spark, rows, values, "bigint", lambda _: shown(fn.feed_timestamp_prefix("v")))
     assert ours == column(
         spark, rows, values, "bigint",
         lambda c: shown(F.try_to_timestamp(text(c), F.lit("yyyyMMddHHmmss"))),
@@ -161,7 +161,7 @@ def test_actor_category_takes_the_first_that_matches(spark, rows):
          (4, "BUS", None, None), (5, None, None, None), (6, "gov", None, None)],
         "i int, a string, b string, c string",
     )
-    out = df.select("i", fn.actor_category(F.col("a"), F.col("b"), F.col("c")))
+    out = df.select("i", fn.actor_category("a", "b", "c"))
     assert [r[1] for r in sorted(rows(out))] == [
         "Gobierno", "Militar", "Grupo rebelde", None, None, None
     ]

@@ -114,7 +114,7 @@ def test_escalation_windows_equal_batch_counts(spark, feed, mentions, arrive, dr
 
 def test_slice_counts_wait_for_the_watermark(spark, mentions, arrive, drain):
     stream = arrive("mentions", batches_of(mentions, 200)).withColumn(
-        "moment", feed_timestamp(F.col("MentionTimeDate"))
+        "moment", feed_timestamp("MentionTimeDate")
     )
     got = drain(streaming.slice_counts(stream, "moment", ["GLOBALEVENTID"], "15 minutes"), "slices")
     expected = {}
