@@ -4,6 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from newsatlas.operators.ranking import latest_per_key
+
 # A key is heavy beyond this many rows; one task should not get more of them.
 ROWS_PER_TASK = 1_000_000
 # At most this many heavy keys are handed to every task. Any key left out has under 1/1000 of all
@@ -56,16 +58,15 @@ def lookup_few(
     newest: Sequence[str],
     attributes: Sequence[str],
 ) -> DataFrame:
-    """Left join of a few distinct rows (the result of a LIMIT) to the newest ``table`` row per key.
+    """Left join of a few rows (the result of a LIMIT) to the newest ``table`` row per key.
+
+    The keys travel to the table, not the table to them: it is scanned once with a broadcast semi
+    join, its repeats of a key are merged in every task, and only what is left is shuffled. Neither
+    broadcast side has more rows than ``few``.
 
-    The few rows travel to the table, not the table to them: it is scanned once with a broadcast
-    join and only its matching rows are shuffled, repeats of a key merged beforehand. ``few`` itself
-    is added without attributes, so that its rows without a match remain. Both branches need all of
-    its columns, which lets Spark compute its shuffles once.
+    ``few`` is needed twice. Spark computes its shuffles once if both uses read the same columns, so
+    its ORDER BY should name all columns that come out of an aggregate.
     """
-    row = F.struct(*newest, *[c for c in attributes if c not in newest]).alias("_row")
-    described = table.select(key, row).join(F.broadcast(few), key).select(*few.columns, "_row")
-    bare = few.withColumn("_row", F.lit(None).cast(described.schema["_row"].dataType))
-    # The greatest struct is the newest row; the attributes after it settle ties.
-    best = described.unionByName(bare).groupBy(*few.columns).agg(F.max("_row").alias("_row"))
-    return best.select(*few.columns, *[F.col("_row")[c].alias(c) for c in attributes])
+    wanted = F.broadcast(few.select(key).distinct())
+    matching = table.join(wanted, key, "left_semi")
+    return few.join(F.broadcast(latest_per_key(matching, key, newest, attributes)), key, "left")

@@ -108,7 +108,9 @@ def breaking_news(
         )
         .filter(F.col("menciones_primera_hora") >= min_mentions)
     )
-    busiest = top_n(first_hour, [F.desc("menciones_primera_hora"), F.col(EVENT)], top)
+    # The event settles all ties; the last column is only there for both uses of the rows to need it.
+    order = [F.desc("menciones_primera_hora"), F.col(EVENT), F.col("fuentes_primera_hora")]
+    busiest = top_n(first_hour, order, top)
     described = lookup_few(
         busiest,
         feed.events,
