@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsatlas.operators.ranking import latest_per_key
 
@@ -13,15 +13,25 @@ ROWS_PER_TASK = 1_000_000
 MAX_HEAVY_KEYS = 1_000
 
 
+def _fan(rows: str, rows_per_task: int) -> Column:
+    """Number of tasks for a key's rows."""
+    return F.greatest(F.lit(1), F.ceil(F.col(rows) / F.lit(rows_per_task)).cast("int"))
+
+
 def heavy_keys(
-    counts: DataFrame, key: str, rows: str, rows_per_task: int = ROWS_PER_TASK
+    lookup: DataFrame, key: str, rows: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Keys with too many rows for one task and the number of tasks to spread each over."""
+    """Keys with too many rows for one task and the number of tasks to spread each over.
+
+    The order names every column of ``lookup``: with the same columns in use as in the join, Spark
+    computes the aggregate behind it once.
+    """
+    others = [c for c in lookup.columns if c not in (key, rows)]
     return (
-        counts.filter(F.col(rows) > rows_per_task)
-        .orderBy(F.col(rows).desc(), key)
+        lookup.filter(F.col(rows) > rows_per_task)
+        .orderBy(F.col(rows).desc(), key, *others)
         .limit(MAX_HEAVY_KEYS)
-        .select(key, F.ceil(F.col(rows) / F.lit(rows_per_task)).cast("int").alias("_fan"))
+        .select(key, _fan(rows, rows_per_task).alias("_fan"))
     )
 
 
@@ -29,26 +39,26 @@ def spread_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
-    heavy: DataFrame,
+    rows: str,
     spread_by: Sequence[str],
     how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join ``facts`` to ``lookup`` (at most one row per key), dividing each heavy key by a salt.
+    """Join ``facts`` to ``lookup``, dividing the facts of each heavy key by a salt.
 
-    The salt is a hash of the ``spread_by`` columns, so a re-run task makes the same choice; these
-    columns should tell apart the rows of a key. Every lookup row of a heavy key is repeated once per salt; all
-    other keys keep the one salt 0. The broadcast side is ``heavy``, bounded by MAX_HEAVY_KEYS rows.
+    ``lookup`` has at most one row per key, with the number of its facts (or more) in column
+    ``rows``, which does not come out; a key without a lookup row is not divided. The salt is a hash of the ``spread_by`` columns, so that a task that is
+    run again makes the same choice; these columns should tell apart the facts of a key. A lookup
+    row is repeated for every salt its facts can have; keys that are not heavy only have salt 0. The
+    broadcast side has MAX_HEAVY_KEYS rows at most, and the repeated rows number no more than
+    facts / ``rows_per_task``.
     """
-    fan = F.coalesce(F.col("_fan"), F.lit(1))
-    salted = facts.join(F.broadcast(heavy), key, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_by), fan).cast("int")
-    )
-    fanned = (
-        lookup.join(F.broadcast(heavy), key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), fan - 1)))
-        .drop("_fan")
-    )
-    return salted.drop("_fan").join(fanned, [key, "_salt"], how).drop("_salt")
+    heavy = F.broadcast(heavy_keys(lookup, key, rows, rows_per_task))
+    salt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_fan", F.lit(1))).cast("int")
+    salted = facts.join(heavy, key, "left").withColumn("_salt", salt).drop("_fan")
+    salts = F.sequence(F.lit(0), _fan(rows, rows_per_task) - 1)
+    fanned = lookup.withColumn("_salt", F.explode(salts)).drop(rows)
+    return salted.join(fanned, [key, "_salt"], how).drop("_salt")
 
 
 def lookup_few(

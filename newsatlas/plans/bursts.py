@@ -10,7 +10,7 @@ from newsatlas.functions import (
     feed_timestamp_prefix,
     mention_time_text,
 )
-from newsatlas.operators import heavy_keys, lookup_few, previous, rolling_sum, spread_join, top_n
+from newsatlas.operators import lookup_few, previous, rolling_sum, spread_join, top_n
 from newsatlas.operators.joins import ROWS_PER_TASK
 from newsatlas.plans.common import EVENT, newest_event_columns
 
@@ -78,7 +78,7 @@ def breaking_news(
     event is an aggregate; it is joined back with the keys of very busy events spread over many
     tasks, where a window over the event would put all their mentions into one.
     """
-    merged = (
+    timed = (
         feed.mentions.filter(F.col(EVENT).isNotNull())
         .select(
             EVENT,
@@ -86,21 +86,14 @@ def breaking_news(
             F.coalesce("MentionSourceName", F.lit("SIN_FUENTE")).alias("source"),
         )
         .filter(F.col("moment").isNotNull())
-        .groupBy(EVENT, "moment", "source")
-        .agg(F.count("*").alias("mentions"))
     )
-    firsts = merged.groupBy(EVENT).agg(
-        F.min("moment").alias("first"), F.count("*").alias("rows")
-    )
-    timed = spread_join(
-        merged,
-        firsts.select(EVENT, "first"),
-        EVENT,
-        heavy_keys(firsts, EVENT, "rows", rows_per_task),
-        spread_by=["moment", "source"],
+    merged = timed.groupBy(EVENT, "moment", "source").agg(F.count("*").alias("mentions"))
+    firsts = timed.groupBy(EVENT).agg(F.min("moment").alias("first"), F.count("*").alias("rows"))
+    dated = spread_join(
+        merged, firsts, EVENT, "rows", spread_by=["moment", "source"], rows_per_task=rows_per_task
     )
     first_hour = (
-        timed.filter(F.col("moment") < F.col("first") + F.expr("INTERVAL 1 HOUR"))
+        dated.filter(F.col("moment") < F.col("first") + F.expr("INTERVAL 1 HOUR"))
         .groupBy(EVENT, "first")
         .agg(
             F.sum("mentions").alias("menciones_primera_hora"),

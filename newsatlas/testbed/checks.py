@@ -281,8 +281,9 @@ def spread_join(feed: Feed) -> DataFrame:
     """Fifty event ids are heavy here: their mentions are divided by a salt."""
     rows = feed.mentions.select(EVENT, "MentionTimeDate", "MentionSourceName")
     counts = rows.groupBy(EVENT).agg(F.count("*").alias("n"))
-    heavy = op.heavy_keys(counts, EVENT, "n", rows_per_task=50)
-    return op.spread_join(rows, counts, EVENT, heavy, ["MentionTimeDate", "MentionSourceName"])
+    lookup = counts.withColumn("rows", F.col("n"))
+    spread_by = ["MentionTimeDate", "MentionSourceName"]
+    return op.spread_join(rows, lookup, EVENT, "rows", spread_by, rows_per_task=50)
 
 
 @_on_feed(f"""{oracle._with(oracle.EVENTS, oracle.MENTIONS, oracle.NEWEST)},

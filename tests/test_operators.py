@@ -19,10 +19,10 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_spread_join_equals_plain_join(spark, rows, skewed, rows_per_task, how):
     data, facts = skewed
-    lookup = spark.createDataFrame([(k, f"name{k}") for k in range(1, 30)], "k bigint, name string")
-    counts = facts.groupBy("k").agg(F.count("*").alias("n"))
-    heavy = op.heavy_keys(counts, "k", "n", rows_per_task)
-    got = Counter(rows(op.spread_join(facts, lookup, "k", heavy, ["v"], how)))
+    names = spark.createDataFrame([(k, f"name{k}") for k in range(1, 30)], "k bigint, name string")
+    lookup = facts.groupBy("k").agg(F.count("*").alias("n")).join(names, "k")
+    joined = op.spread_join(facts, lookup, "k", "n", ["v"], how, rows_per_task)
+    got = Counter(rows(joined))
     names = {k: f"name{k}" for k in range(1, 30)}
     expected = Counter((k, v, names.get(k)) for k, v in data if how == "left" or k in names)
     assert got == expected
