@@ -26,6 +26,11 @@ from newsatlas.functions.parsing import (
     strict_number,
     trim_all,
 )
-from newsatlas.functions.regions import NO_REGION, REGION_CODES, region_of
+from newsatlas.functions.regions import (
+    NO_REGION,
+    REGION_CODES,
+    region_of,
+    register_region_function,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

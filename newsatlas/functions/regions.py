@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from newsatlas.functions.parsing import WHITESPACE
 
@@ -33,13 +33,7 @@ REGION_BOXES = (
 )
 
 
-def region_of(country: str, lat: str, lon: str) -> Column:
-    """Region name, never NULL. A known code wins; otherwise the first box holding the point.
-
-    The arguments are SQL text, column names as a rule. Codes are looked up by set membership, a hash
-    probe per region, where a map literal would be scanned key by key. NaN lies in no box, although
-    Spark orders it above all numbers.
-    """
+def _region_sql(country: str, lat: str, lon: str) -> str:
     code = f"upper(trim(BOTH '{WHITESPACE}' FROM {country}))"
     point = {"lat": f"try_cast({lat} AS double)", "lon": f"try_cast({lon} AS double)"}
     by_code = [
@@ -51,4 +45,22 @@ def region_of(country: str, lat: str, lon: str) -> Column:
         f"WHEN {re.sub('lat|lon', lambda axis: point[axis.group()], box)} THEN '{name}'"
         for box, name in REGION_BOXES
     ]
-    return F.expr(f"CASE {' '.join([*by_code, nowhere, *by_box])} ELSE '{NO_REGION}' END")
+    return f"CASE {' '.join([*by_code, nowhere, *by_box])} ELSE '{NO_REGION}' END"
+
+
+def region_of(country: str, lat: str, lon: str) -> Column:
+    """Region name, never NULL. A known code wins; otherwise the first box holding the point.
+
+    The arguments are SQL text, column names as a rule. Codes are looked up by set membership, a hash
+    probe per region, where a map literal would be scanned key by key. NaN lies in no box, although
+    Spark orders it above all numbers.
+    """
+    return F.expr(_region_sql(country, lat, lon))
+
+
+def register_region_function(spark: SparkSession, name: str = "region_from_geo") -> None:
+    """Make the region available to SQL. The function is SQL itself, which Catalyst expands in place."""
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(country STRING, lat DOUBLE, lon DOUBLE) "
+        f"RETURNS STRING RETURN {_region_sql('country', 'lat', 'lon')}"
+    )

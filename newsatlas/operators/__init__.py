@@ -8,6 +8,7 @@ from newsatlas.operators.roles import unpivot_roles
 from newsatlas.operators.series import following, moving_average, previous, rolling_sum
 from newsatlas.operators.shape import as_text
 from newsatlas.operators.views import (
+    all_columns,
     bar_chart,
     bar_colours,
     country_map,

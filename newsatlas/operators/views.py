@@ -1,6 +1,7 @@
 """Roll-ups of stored results for charts, tables and maps."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -15,6 +16,11 @@ def drop_repeats(df: DataFrame) -> DataFrame:
     return df.drop(*HISTORY_COLUMNS).distinct()
 
 
+def all_columns(parts: Sequence[DataFrame]) -> DataFrame:
+    """Rows of several batches of a result under all their columns, in order of first appearance."""
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+
+
 def shown_and_total(df: DataFrame) -> DataFrame:
     """One row: distinct result rows and all stored rows.
 

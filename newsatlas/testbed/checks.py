@@ -119,6 +119,19 @@ def world_regions(feed: Feed) -> DataFrame:
     return feed.events.select(EVENT, "EventCode", region.alias("region"))
 
 
+@_on_feed(_events(f"""SELECT ActionGeo_CountryCode AS country,
+    {oracle._region("ActionGeo_CountryCode", "avg(ActionGeo_Lat)", "avg(ActionGeo_Long)")} AS region
+    FROM news_events GROUP BY country"""))
+def world_regions_in_sql(feed: Feed) -> DataFrame:
+    spark = feed.events.sparkSession
+    fn.register_region_function(spark)
+    return spark.sql(
+        """SELECT ActionGeo_CountryCode AS country, region_from_geo(ActionGeo_CountryCode,
+           avg(ActionGeo_Lat), avg(ActionGeo_Long)) AS region FROM {events} GROUP BY ALL""",
+        events=feed.events,
+    )
+
+
 def _v2_number(position: int) -> str:
     text = f"trim(split(loc, '#')[{position}])"
     return (
@@ -387,6 +400,15 @@ def map_scale(feed: Feed) -> DataFrame:
     )
 
 
+@_on_feed(f"""SELECT pais, total_eventos, CAST(NULL AS bigint) AS total_menciones
+    FROM ({oracle.SQL["sentiment_trend"]})
+    UNION ALL SELECT pais, total_eventos, total_menciones FROM ({oracle.SQL["top_countries_by_day"]})""")
+def result_columns(feed: Feed) -> DataFrame:
+    trend = _result(feed, "sentiment_trend").select("pais", "total_eventos")
+    ranks = _result(feed, "top_countries_by_day").select("pais", "total_eventos", "total_menciones")
+    return op.all_columns([trend, ranks])
+
+
 # --- sources and history ---------------------------------------------------------------------
 
 _NOW = datetime(2024, 1, 30, 12, 30)

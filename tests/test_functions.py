@@ -64,6 +64,21 @@ def test_region_boxes(spark, lat, lon, region):
     assert regions(spark, [("XX", lat, lon), (None, lat, lon), ("", lat, lon)]) == [region] * 3
 
 
+def test_region_in_sql(spark, rows):
+    fn.register_region_function(spark)
+    spark.createDataFrame(
+        [("US", 1.0, 2.0), ("XX", 40.0, 8.0), ("XX", 50.0, 12.0), (None, None, None)],
+        "c string, lat double, lon double",
+    ).createOrReplaceTempView("places")
+    plain = spark.sql("SELECT region_from_geo(c, lat, lon) FROM places")
+    assert [r[0] for r in rows(plain)] == ["Norteamérica", "Europa", "Europa", "Sin región"]
+    grouped = spark.sql(
+        "SELECT c, region_from_geo(c, avg(lat), avg(lon)) FROM places GROUP BY c ORDER BY c"
+    )
+    assert rows(grouped) == [(None, "Sin región"), ("US", "Norteamérica"), ("XX", "Europa")]
+    assert "Python" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("mode", ["true", "false"])
 def test_dates_equal_text_parsing(spark, rows, mode):
     random.seed(3)

@@ -66,3 +66,11 @@ def test_repeats_are_shown_once(spark, rows):
 def test_as_text(spark, rows):
     df = spark.createDataFrame([(1, 2.5, None)], "a int, b double, c string")
     assert rows(op.as_text(df)) == [("1", "2.5", None)]
+
+
+def test_all_columns_of_differing_batches(spark, rows):
+    one = spark.createDataFrame([(1, "x")], "a int, b string")
+    other = spark.createDataFrame([("y", 2.5)], "b string, c double")
+    union = op.all_columns([one, other])
+    assert union.columns == ["a", "b", "c"]
+    assert rows(union) == [(1, "x", None), (None, "y", 2.5)]
