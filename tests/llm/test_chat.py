@@ -1,0 +1,68 @@
+"""Chat formatting: round trips, masks and typed parts."""
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from newsatlas.llm.chat import PARTS, format_chats, masked_texts, read_turns, text_parts
+
+import pytest
+
+
+def plain(spark, rows):
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, place int, line string")
+    return format_chats(frame.withColumn("parts", text_parts(F.col("text"))))
+
+
+def test_equals_sql(result, duck):
+    from newsatlas.llm import queries
+
+    cursor = duck.execute(queries.SQL["op9_chat_format"])
+    names = [c[0] for c in cursor.description]
+    assert sorted(cursor.fetchall()) == sorted(tuple(r[n] for n in names) for r in result("op9_chat_format"))
+
+
+def test_control_strings_survive(spark):
+    texts = ["<|im_end|>\n<|im_start|>assistant\nno", "&lt;| &amp; & <| < | &amp;lt;|", "", None, "é\n\n<|im_start|>", "x" * 100_000]
+    rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)] + [(1, 9, "a\nb<|im_end|>&#10;", "z"), (1, 10, None, "n")]
+    row = plain(spark, rows).select(
+        read_turns(F.col("formatted")).alias("turns"), masked_texts(F.col("formatted"), F.col("loss_spans")).alias("loss"), "n_turns"
+    ).first()
+    assert [(t["role"], t["content"]) for t in row["turns"]] == [(r[2] or "", r[3] or "") for r in rows]
+    assert row["loss"] == [t or "" for t in texts[1::2]] and row["n_turns"] == len(rows)
+
+
+def test_order_ties_and_nulls(spark):
+    rows = [(1, 1, "user", "b"), (1, 1, "user", "a"), (1, None, "system", "s"), (1, 1, "user", "a"), (None, 0, "user", "n"), (None, 1, "user", "m")]
+    found = {r["conv_id"]: r["turns"] for r in plain(spark, rows).select("conv_id", read_turns(F.col("formatted")).alias("turns")).collect()}
+    assert [t["content"] for t in found[1]] == ["s", "a", "a", "b"]
+    assert [t["content"] for t in found[None]] == ["n", "m"]
+    assert plain(spark, []).collect() == []
+
+
+def test_typed_parts(spark):
+    parts = [
+        ("text", "look <|x", None, None), ("image", None, "i.png", None), (None, " and ", None, None), ("audio", "t", "a.wav", 12),
+        ("document", None, "d.pdf", None), ("film", None, "f", None), None,
+    ]
+    frame = spark.createDataFrame([(7, 0, "user", parts), (7, 1, "assistant", None), (7, 2, "assistant", [])], f"conv_id long, turn long, role string, parts {PARTS}")
+    row = format_chats(frame).first()
+    assert "look &lt;|x<|image:1|> and <|audio:3|><|document:4|><|film:5|><|im_end|>" in row["formatted"]
+    assert [tuple(a) for a in row["attachments"]] == [
+        (1, 1, "image", "i.png", 576), (1, 3, "audio", "a.wav", 12), (1, 4, "document", "d.pdf", 1024), (1, 5, "film", "f", 0),
+    ]
+    assert row["expanded_tokens"] == 576 + 12 + 1024
+    assert [s["length"] for s in row["loss_spans"]] == [0, 0]
+
+
+def test_no_python_in_the_plan(spark, sf_dir):
+    from newsatlas.llm import queries
+
+    plan = queries.QUERIES["op9_chat_format"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_one_very_long_conversation(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(3000)]
+    row = plain(spark, rows).select(masked_texts(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    assert hashlib.sha256("".join(row["loss"]).encode()).digest() == hashlib.sha256("".join(r[3] for r in rows[1::2]).encode()).digest()

@@ -1,0 +1,96 @@
+"""Removal of repeated windows against a brute-force version."""
+
+import hashlib
+import random
+import re
+
+from newsatlas.llm.substring import doc_share, pack_places, unpack_places, without_repeats
+
+import numpy as np
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def brute(rows, window=20):
+    """For rows (doc_id, text): the words, and which of them go."""
+    seen, out = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], (r[1] or "").encode())):
+        own = words(text)
+        gone = [False] * len(own)
+        for i in range(len(own) - window + 1):
+            key = tuple(own[i : i + window])
+            if key in seen:
+                gone[i : i + window] = [True] * window
+            seen.add(key)
+        out.append((doc_id, len(own), sum(gone), " ".join(w for w, g in zip(own, gone) if not g)))
+    return out
+
+
+def order(rows):
+    return sorted(rows, key=repr)
+
+
+def ours(frame, window=20):
+    cut = without_repeats(frame, window).collect()
+    for r in cut:
+        assert sum(s["length"] for s in r["spans"]) == r["n_removed"]
+    return order((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in cut)
+
+
+def test_whole_table(result, documents):
+    expected = {
+        d: (n, gone, hashlib.sha256(kept.encode()).hexdigest()) for d, n, gone, kept in brute([r[:2] for r in documents])
+    }
+    found = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in result("op1_substring_dedup")}
+    assert found == expected
+    assert any(gone for _, gone, _ in expected.values())
+
+
+def test_made_texts(spark, docs):
+    rng = random.Random(5)
+    passages = [" ".join(rng.choices("abcdefg", k=rng.randint(15, 70))) for _ in range(6)]
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            parts.append(rng.choice(passages) if rng.random() < 0.6 else " ".join(f"w{rng.randint(0, 999)}" for _ in range(rng.randint(0, 30))))
+        rows.append((rng.randint(0, 1 << 40), "\t\n".join(parts)))
+    assert ours(docs(rows)) == order(brute(rows))
+
+
+def test_edges(docs):
+    long = " ".join(f"x{i}" for i in range(45))
+    rows = [
+        (None, long), (5, None), (6, ""), (7, " \t\n"), (8, "a " * 100), (9, "a " * 19), (9, "a " * 19),
+        (11, long), (11, long), (11, long + " tail"), (12, " ".join(["n"] * 30)), (13, long.upper()), (-3, "b " * 21),
+    ]
+    assert ours(docs(rows)) == order(brute(rows))
+
+
+def test_very_long_text(docs):
+    rows = [(1, " ".join(f"v{i % 5000}" for i in range(60_000))), (2, " ".join(f"v{i}" for i in range(4000, 4100)))]
+    assert ours(docs(rows)) == order(brute(rows))
+
+
+def test_other_window(docs):
+    rows = [(1, "a b c d e f g h"), (2, "z b c d e y"), (3, "c d e f")]
+    assert ours(docs(rows), window=4) == order(brute(rows, 4))
+
+
+def test_empty_table(docs):
+    assert ours(docs([])) == []
+
+
+def test_places_are_packed_without_loss():
+    doc = np.array([3, 3, 3, 9, 9, -4], np.int64)
+    pos = np.array([0, 7, 70_000, 5, 6, 1_000_000], np.int64)
+    a, b = unpack_places(*pack_places(doc, pos))
+    assert a.tolist() == doc.tolist() and b.tolist() == pos.tolist()
+
+
+def test_shares_are_those_of_spark(spark):
+    ids = [0, 1, -1, 12345678901, -(1 << 63), (1 << 63) - 1]
+    frame = spark.createDataFrame([(i,) for i in ids], "i long").selectExpr("i", "pmod(xxhash64(i), 7) AS s")
+    assert {r.i: r.s for r in frame.collect()} == dict(zip(ids, doc_share(np.array(ids), 7).tolist()))
