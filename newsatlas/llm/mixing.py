@@ -54,6 +54,11 @@ def apportioned(rows: DataFrame, group: list[str], name: str, votes: str, seats:
     )
 
 
+def row_draw(doc_id: Column, text: Column, seed: int = 0) -> Column:
+    """The seeded place of a row, which names it too."""
+    return F.xxhash64(F.lit(seed), doc_id.cast("long"), text.cast("string"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
     """Add ``weight`` and ``target`` to a row (source, source_size) per source.
 
@@ -95,7 +100,7 @@ def mixed_sources(
     """How many words of each document a mix of the sources takes.
 
     Returns a row per row of ``docs`` (doc_id long, text string, source string): doc_id, source, size (words),
-    source_size, target, taken (words, repeats counted), times (whole repeats). The targets (see ``source_targets``) become
+    source_size, target, taken (words, repeats counted), times (whole repeats), draw (``row_draw``). The targets (see ``source_targets``) become
     whole blocks by Sainte-Laguë, and those become quotas of a source's shards by the same rule. In a
     shard the documents stand in a seeded order and are divided into blocks of ``block`` words, the last one shorter. Its quota is
     met by whole repeats of the shard and the first blocks of that order, so that a document may be taken in part. None is
@@ -114,7 +119,7 @@ def mixed_sources(
         source.alias("source"),
         F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("key"),  # differs for null and any text
         word_count(text).alias("size"),
-        F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), text).alias("draw"),
+        row_draw(F.col("doc_id"), text, seed).alias("draw"),
     )
     rows = stored(rows, "mix-sizes")  # without the texts, which are read once
     totals = rows.groupBy("key", "source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -153,4 +158,5 @@ def mixed_sources(
         "target",
         (F.col("repeats") * F.col("size") + chosen).alias("taken"),
         F.col("repeats").alias("times"),
+        "draw",
     )
