@@ -6,19 +6,22 @@ A *heavy* set stands in the inverted lists of its rarest n-grams, just as many t
 both. The boundary is the size up to which subsets cost less than lists, by the lists' expected length.
 
 Sets that are equal are one node. Lists aren't expanded into pairs: each size class has a leader, and every member is
-compared with that of its class and of the next one. This alone joins a large group of near copies. Only between
-different components that meet in a list are pairs compared then, so that no link between components is lost.
+compared with that of its class and of the next one. This alone joins most groups of near copies. Only lists whose members
+are still in different components are compared in full then, so that no link between components is lost. Comparisons are made
+where the sets meet, in clusters of bounded size, and give out only the links that join a cluster.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import chunks, mixed, rolled, salted_join, stored, word_hashes, words_of
@@ -29,7 +32,11 @@ SHINGLE, PERCENT = 4, 85
 COUNTERS = 1 << 18
 _SLICES = 64
 #: Members of a list that one task holds, about; longer lists are divided by salt.
-LIST_ROWS = 4096
+LIST_ROWS = 2048
+#: Members that are compared with a leader in one task, about.
+TOGETHER = 256
+#: Sets of a cluster that have an n-gram, up to which it is counted pair by pair.
+FEW = 32
 
 
 def shingles(text: bytes | None, n: int) -> np.ndarray:
@@ -51,13 +58,19 @@ def subset_keys(own: np.ndarray, percent: int) -> np.ndarray:
     A subset is known by the sum of its mixed hashes, and found by what it leaves out.
     """
     values = mixed(own + np.uint64(0x51ED270B))
-    total, size, out = values.sum(dtype=np.uint64), len(own), []
+    total, size = values.sum(dtype=np.uint64), len(own)
+    out = []
     for left_out in range(size - needed(size, percent) + 1):
-        sums = [total - sum((values[i] for i in c), np.uint64(0)) for c in combinations(range(size), left_out)]
-        out.append(mixed(np.array(sums, np.uint64) + np.uint64(size - left_out)))
+        sums = total - values[_left_out(size, left_out)].sum(axis=1, dtype=np.uint64)
+        out.append(mixed(sums + np.uint64(size - left_out)))
     return np.concatenate(out)
 
 
+@lru_cache(maxsize=256)
+def _left_out(size: int, number: int) -> np.ndarray:
+    return np.array(list(combinations(range(size), number)), np.int64).reshape(math.comb(size, number), number)
+
+
 @dataclass(frozen=True)
 class Order:
     """A total order of n-grams from rare to frequent, and the boundary. Of a fixed size, whatever the data."""
@@ -125,7 +138,7 @@ def _add_slices(batches):
         yield pa.RecordBatch.from_pydict({"slice": pa.array([at], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
 
-_POSTING = "key long, salt int, size long, doc_id long, set_a long, at int"
+_POSTING = "key long, salt int, size int, doc_id long"
 
 
 def _postings(shared, n: int):
@@ -135,7 +148,7 @@ def _postings(shared, n: int):
         p = order.percent
         for rows in chunks(batches, ["doc_id", "text"], most=4_000_000):
             seen: set[bytes] = set()
-            keys, sizes, docs, sets, ats = [], [], [], [], []
+            keys, sizes, docs = [], [], []
             for doc_id, text in rows:
                 own = shingles(text, n)
                 digest = xxhash.xxh3_128_digest(own.tobytes())
@@ -143,19 +156,13 @@ def _postings(shared, n: int):
                     continue
                 seen.add(digest)
                 size = len(own)
-                found = []
-                if size <= order.boundary:
-                    sub = subset_keys(own, p)
-                    found.append((sub, np.full(len(sub), -1)))
+                found = [subset_keys(own, p)] if size <= order.boundary else []
                 if size >= needed(order.boundary + 1, p):
-                    prefix = order.ranked(own)[: size - needed(size, p) + 1]
-                    found.append((prefix, np.arange(len(prefix))))
-                for k, at in found:
+                    found.append(order.ranked(own)[: size - needed(size, p) + 1])
+                for k in found:
                     keys.append(k)
-                    ats.append(at)
                     sizes.append(np.full(len(k), size))
                     docs.append(np.full(len(k), doc_id))
-                    sets.append(np.full(len(k), np.frombuffer(digest, np.int64)[0]))
             if not keys:
                 continue
             key, doc = np.concatenate(keys), np.concatenate(docs)
@@ -168,22 +175,28 @@ def _postings(shared, n: int):
                 {
                     "key": pa.array(key.view(np.int64)),
                     "salt": pa.array(salt),
-                    "size": pa.array(np.concatenate(sizes), pa.int64()),
+                    "size": pa.array(np.concatenate(sizes), pa.int32()),
                     "doc_id": pa.array(doc, pa.int64()),
-                    "set_a": pa.array(np.concatenate(sets), pa.int64()),
-                    "at": pa.array(np.concatenate(ats), pa.int32()),
                 }
             )
 
     return run
 
 
-def _lists(batches):
-    """From rows in order of (key, salt, size, doc_id): each list of two sets at least, as arrays; rows of one list follow each other.
+def _lists(percent: int):
+    """From rows in order of (key, salt, size, doc_id): each list of two sets at least, as arrays of at most ``LIST_ROWS``.
 
-    A list may be as long as its rows are many; it is given out in pieces of at most ``LIST_ROWS``.
+    Where the next size is too large to be linked with the last one, a new list begins: no link leads across.
     """
-    names = ["key", "salt", "size", "doc_id", "set_a", "at"]
+
+    def run(batches):
+        yield from _list_rows(batches, percent)
+
+    return run
+
+
+def _list_rows(batches, percent):
+    names = ["key", "salt", "size", "doc_id"]
     rest = None
     for batch in batches:
         columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
@@ -193,46 +206,40 @@ def _lists(batches):
         new = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1])) + 1
         last = int(new[-1]) if len(new) else 0
         rest = [c[last:] for c in columns]
-        yield from _whole_lists([c[:last] for c in columns])
+        yield from _whole_lists([c[:last] for c in columns], percent)
     if rest is not None:
-        yield from _whole_lists(rest)
+        yield from _whole_lists(rest, percent)
 
 
-def _whole_lists(columns):
-    key, salt, size, doc, sets, at = columns
+def _whole_lists(columns, percent):
+    key, salt, size, doc = columns
     if not len(key):
         return
-    # Copies of a set that came from different blocks stand together; the first one is enough.
-    same = (key[1:] == key[:-1]) & (salt[1:] == salt[:-1]) & (sets[1:] == sets[:-1])
-    keep = np.concatenate([[True], ~same])
-    key, salt, size, doc, at = (c[keep] for c in (key, salt, size, doc, at))
-    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])]))
-    sizes = np.diff(np.append(first, len(key)))
+    gap = (salt[1:] < 0) & (percent * size[1:].astype(np.int64) > 100 * size[:-1].astype(np.int64))
+    first = np.flatnonzero(np.concatenate([[True], gap | (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])]))
     sizes = np.diff(np.append(first, len(key)))
     # A list of one set is of use only if other salts may have more of it.
-    ends = first + sizes
+    used = (sizes > 1) | (salt[first] >= 0)
     pieces = [
-        (int(key[a]), int(salt[a]), bool(salt[a] >= 0 or b - a > LIST_ROWS), size[i : min(i + LIST_ROWS, b)], doc[i : min(i + LIST_ROWS, b)], at[i : min(i + LIST_ROWS, b)])
-        for a, b in zip(first, ends)
-        if b - a > 1 or salt[a] >= 0
-        for i in range(a, b, LIST_ROWS)
+        (int(key[a]), int(salt[a]), bool(salt[a] >= 0 or n > LIST_ROWS), size[i : min(i + LIST_ROWS, a + n)], doc[i : min(i + LIST_ROWS, a + n)])
+        for a, n in zip(first[used].tolist(), sizes[used].tolist())
+        for i in range(a, a + n, LIST_ROWS)
     ]
     if not pieces:
         return
-    k, s, m, z, d, t = zip(*pieces)
+    k, s, m, z, d = zip(*pieces)
     yield pa.RecordBatch.from_pydict(
         {
             "key": pa.array(k, pa.int64()),
             "salt": pa.array(s, pa.int32()),
             "divided": pa.array(m, pa.bool_()),
-            "sizes": pa.array(z, pa.list_(pa.int64())),
+            "sizes": pa.array(z, pa.list_(pa.int32())),
             "docs": pa.array(d, pa.list_(pa.int64())),
-            "ats": pa.array(t, pa.list_(pa.int32())),
         }
     )
 
 
-_LIST = "key long, salt int, divided boolean, sizes array<long>, docs array<long>, ats array<int>"
+_LIST = "key long, salt int, divided boolean, sizes array<int>, docs array<long>"
 
 
 def _runs(sizes: list[int], percent: int) -> list[int]:
@@ -267,83 +274,125 @@ def _leaders(percent: int):
         for batch in batches:
             out = []
             for key, sizes, docs in zip(*(batch.column(c).to_pylist() for c in ("key", "sizes", "docs"))):
-                out += [(key, -1, sizes[i], docs[i], docs[i], 0) for i in _runs(sizes, percent)]
-            columns = zip(*out) if out else [()] * 6
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-            names = ["key", "salt", "size", "doc_id", "set_a", "at"]
+                out += [(key, -1, sizes[i], docs[i]) for i in _runs(sizes, percent)]
+            columns = zip(*out) if out else [()] * 4
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            names = ["key", "salt", "size", "doc_id"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     return run
 
 
-def _in_lists(postings: DataFrame) -> DataFrame:
-    dealt = postings.repartition("key", "salt").sortWithinPartitions("key", "salt", "size", "set_a", "doc_id")
-    return dealt.mapInArrow(_lists, _LIST)
+def _in_lists(postings: DataFrame, percent: int) -> DataFrame:
+    dealt = postings.repartition("key", "salt").sortWithinPartitions("key", "salt", "size", "doc_id")
+    return dealt.mapInArrow(_lists(percent), _LIST)
 
 
-def _sets(n: int):
-    def run(batches):
-        for rows in chunks(batches, ["doc_id", "text"], most=4_000_000):
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "node": pa.array([i for i, _ in rows], pa.int64()),
-                    "own": pa.array([shingles(t, n).tobytes() for _, t in rows], pa.binary()),
-                }
-            )
-
-    return run
+def _compressed(batches):
+    for rows in chunks(batches, ["doc_id", "text"], most=4_000_000):
+        pack = zstandard.ZstdCompressor(level=1)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "node": pa.array([i for i, _ in rows], pa.int64()),
+                "packed": pa.array([pack.compress(t or b"") for _, t in rows], pa.binary()),
+            }
+        )
 
 
-def _compare(percent: int):
+def _dealt(n: int):
     def run(batches):
+        """The set of each document, 48 bits of each hash, once for every cluster that it is in."""
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("own").to_pylist(), batch.column("other").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(
-                pa.array(linked, pa.bool_())
-            )
+            out, held = [], 0
+            for node, packed, clusters in zip(*(batch.column(c).to_pylist() for c in ("node", "packed", "clusters"))):
+                own = shingles(unpack.decompress(packed), n)
+                own = own.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+                for cluster in clusters:
+                    out.append((cluster["cluster"], cluster["part"], node, own))
+                    held += len(own)
+                    if held > 8_000_000:
+                        yield _members(out)
+                        out, held = [], 0
+            yield _members(out)
 
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int, together: int = 256) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose sets are linked. A node b of many pairs is repeated for each ``together`` of them."""
-    often = pairs.groupBy("b").agg((F.floor(F.count("*") / F.lit(together)) + 1).cast("int").alias("shares"))
-    dealt = salted_join(pairs, often, ["b"], how="inner").withColumn("share", F.pmod(F.xxhash64("a"), "shares").cast("int"))
-    ones = sets.withColumnRenamed("node", "a")
-    others = often.join(sets.withColumnRenamed("node", "b"), "b").select(
-        "b", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("own").alias("other")
-    )
-    rows = dealt.join(ones, "a").join(others, ["b", "share"]).select("a", "b", "own", "other")
-    return rows.mapInArrow(_compare(percent), "a long, b long")
+def _members(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    columns = zip(*rows) if rows else [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["cluster", "part", "node", "own"])
 
 
-def _crossing(percent: int):
-    def run(batches):
-        """Pairs of two pieces of a list whose components differ and that size and place in the list don't exclude."""
-        for batch in batches:
-            for row in batch.to_pylist():
-                x, y = ([np.array([m[c] for m in row[side]], np.int64) for c in ("node", "size", "at", "component")] for side in ("members", "others"))
-                found = set()
-                for i in range(len(x[0])):
-                    j = np.arange(i + 1 if row["same"] else 0, len(y[0]))
-                    less, more = np.minimum(x[1][i], y[1][j]), np.maximum(x[1][i], y[1][j])
-                    # The first common n-gram has what follows it in both sets as the most that can be in common.
-                    rest = np.minimum(x[1][i] - x[2][i], y[1][j] - y[2][j])
-                    placed = (x[2][i] < 0) | (y[2][j] < 0) | ((100 + percent) * rest >= percent * (x[1][i] + y[1][j]))
-                    good = (x[3][i] != y[3][j]) & (100 * less >= percent * more) & placed
-                    found.update((max(x[0][i], b), min(x[0][i], b)) for b in y[0][j[good]])
-                a, b = zip(*found) if found else ((), ())
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def linked_members(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each of some sorted sets the place of the first one that links lead to, itself included.
+
+    Intersections are counted at once: for n-grams in few of the sets by meeting each with the next ones that have it, for the
+    others as products of slices of the incidence matrix.
+    """
+    m = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(m), sizes)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(column, kind="stable")
+    owner, column, often = owner[order], column[order], count[column[order]]
+    both = np.zeros(m * m, np.int64)
+    few = (often > 1) & (often <= FEW)
+    light, own = column[few], owner[few]
+    for k in range(1, FEW):
+        same = np.flatnonzero(light[k:] == light[:-k])
+        if not len(same):
+            break
+        both += np.bincount(own[same] * m + own[same + k], minlength=m * m)
+    both = both.reshape(m, m)
+    both += both.T
+    heavy, own = np.unique(column[often > FEW], return_inverse=True)[1], owner[often > FEW]
+    width = max(1, 4_000_000 // m)
+    for start in range(0, int(heavy[-1]) + 1 if len(heavy) else 0, width):
+        a, b = np.searchsorted(heavy, [start, start + width])
+        incidence = np.zeros((m, int(heavy[b - 1]) - start + 1), np.float32)
+        incidence[own[a:b], heavy[a:b] - start] = 1
+        both += (incidence @ incidence.T).astype(np.int64)
+    union = sizes[:, None] + sizes[None, :] - both
+    linked = 100 * both >= percent * union
+    np.fill_diagonal(linked, True)
+    first = np.arange(m)
+    while True:
+        new = np.where(linked, first[None, :], m).min(axis=1)
+        if (new == first).all():
+            return first
+        first = new
+
+
+def _link(percent: int):
+    def run(members: pa.Table) -> pa.Table:
+        """The links that join the members of one cluster."""
+        sets = {}
+        for node, own in zip(members.column("node").to_pylist(), members.column("own").to_pylist()):
+            sets.setdefault(node, own)
+        nodes = sorted(sets)
+        own = []
+        for node in nodes:
+            wide = np.zeros((len(sets[node]) // 6, 8), np.uint8)
+            wide[:, 2:] = np.frombuffer(sets[node], np.uint8).reshape(-1, 6)
+            own.append(wide.view(np.uint64).ravel())
+        first = linked_members(own, percent)
+        pairs = [(nodes[i], nodes[f]) for i, f in enumerate(first.tolist()) if f != i]
+        a, b = zip(*pairs) if pairs else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
+def _links(rows: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
+    """The links in clusters (cluster, part, node) of bounded size. Texts are shuffled once, and sets only of the nodes wanted."""
+    wanted = members.groupBy("node").agg(F.collect_list(F.struct("cluster", "part")).alias("clusters"))
+    texts = rows.filter("doc_id IS NOT NULL").mapInArrow(_compressed, "node long, packed binary")
+    dealt = texts.join(wanted, "node").mapInArrow(_dealt(n), "cluster long, part long, node long, own binary")
+    return dealt.groupBy("cluster", "part").applyInArrow(_link(percent), "a long, b long")
+
+
 def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id), one per row of ``docs`` (doc_id long, text string).
 
@@ -353,7 +402,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
 
     Null and empty texts have an empty set and are linked with nothing. A null doc_id takes no part and has a null component_id.
     Repeated rows are reported each. Rows with one id should have one text; otherwise each has the component of its own text. Other
-    columns are not read, and an empty table gives no rows. n-grams are compared by 64-bit hashes.
+    columns are not read, and an empty table gives no rows. n-grams are told apart by 64-bit hashes, and 48 bits of them where two sets are compared.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -381,43 +430,47 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
         pairs = pairs.join(of.toDF("a", "node_a"), "a").join(of.toDF("b", "node_b"), "b")
         return pairs.filter("node_a != node_b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
-    lists = stored(_in_lists(rows.mapInArrow(_postings(shared, n), _POSTING)), "lists")
-    leaders = _in_lists(lists.filter("divided").mapInArrow(_leaders(percent), _POSTING))
+    lists = stored(_in_lists(rows.mapInArrow(_postings(shared, n), _POSTING), percent), "lists")
+    leaders = _in_lists(lists.filter("divided").mapInArrow(_leaders(percent), _POSTING), percent)
     stars = lists.select("sizes", "docs").union(leaders.select("sizes", "docs"))
     pairs = stored(mapped(stars.mapInArrow(_stars(percent), "a long, b long").distinct()), "pairs")
-
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = rows.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(n), "node long, own binary")
-    sets = stored(sets.dropDuplicates(["node"]), "shingles")
-    joined = components(_linked(pairs, sets, percent))
-
-    # Lists of more than a pair, with the components that their members have by now.
-    longer = lists.filter(F.col("divided") | (F.size("docs") > 2)).withColumn("piece", F.xxhash64("key", "salt", F.col("docs")[0]))
-    member = F.explode(F.arrays_zip("docs", "sizes", "ats")).alias("m")
-    members = longer.select("key", "piece", "divided", member).select(
-        "key", "piece", "divided", F.col("m.docs").alias("doc_id"), F.col("m.sizes").alias("size"), F.col("m.ats").alias("at")
-    )
+    # A leader with its members, in clusters of bounded size.
+    often = pairs.groupBy("b").agg((F.floor(F.count("*") / F.lit(TOGETHER)) + 1).alias("parts"))
+    dealt = salted_join(pairs, often, ["b"], how="inner").withColumn("part", F.pmod(F.xxhash64("a"), "parts"))
+    own = often.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("b").alias("node"))
+    clusters = dealt.select("b", "part", F.col("a").alias("node")).union(own).withColumnRenamed("b", "cluster")
+    joined = components(_links(rows, clusters, n, percent))
+
+    # Lists of more than a pair whose members are in several components by now.
+    piece = F.xxhash64("key", "salt", F.col("docs")[0])
+    longer = lists.filter(F.col("divided") | (F.size("docs") > 2)).withColumn("piece", piece)
+    longer = longer.withColumn("key", F.when(F.col("divided"), F.col("key")).otherwise(F.col("piece")))
     component = of.join(joined.withColumnRenamed("component", "joined"), "node", "left").select(
         "doc_id", "node", F.coalesce("joined", "node").alias("component")
     )
-    members = members.join(component, "doc_id").groupBy("key", "piece").agg(
-        F.collect_list(F.struct("node", "size", "at", "component")).alias("members"),
-        F.min("component").alias("least"),
-        F.max("component").alias("most"),
+    pieces = longer.select("key", "piece", F.explode("docs").alias("doc_id")).join(component, "doc_id")
+    pieces = pieces.groupBy("key", "piece").agg(
+        F.sort_array(F.collect_set("node")).alias("nodes"), F.min("component").alias("least"), F.max("component").alias("most")
     )
-    members = stored(members, "members")
-    open_keys = members.groupBy("key").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-    open_keys = open_keys.filter("least != most").select("key")
-    members = members.join(open_keys, "key", "left_semi").select("key", "piece", "members")
-    others = members.select("key", F.col("piece").alias("piece_b"), F.col("members").alias("others"))
-    crossing = members.join(others, "key").filter("piece <= piece_b").select(
-        "members", "others", (F.col("piece") == F.col("piece_b")).alias("same")
+    pieces = stored(pieces, "pieces")
+    several = pieces.groupBy("key").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    pieces = pieces.join(several.filter("least != most").select("key"), "key", "left_semi").select("key", "piece", "nodes")
+    others = pieces.select("key", F.col("piece").alias("other"), F.col("nodes").alias("more"))
+    together = pieces.join(others, "key").filter("piece <= other")
+    together = together.select(F.sort_array(F.array_union("nodes", "more")).alias("nodes")).filter(F.size("nodes") > 2)
+    together = stored(together.distinct(), "together")
+    # Pieces that overlap are compared as one while they are few enough, so that a set is sent once; beyond that each for itself.
+    meeting = components(together.select(F.explode("nodes").alias("a"), F.col("nodes")[0].alias("b")))
+    sizes = meeting.groupBy("component").agg(F.count("*").alias("n"))
+    small = salted_join(meeting, sizes.filter(F.col("n") <= LIST_ROWS), ["component"], how="inner")
+    large = meeting.join(sizes.filter(F.col("n") > LIST_ROWS), "component").select(F.col("node").alias("first"))
+    apart = together.withColumn("first", F.col("nodes")[0]).join(large, "first", "left_semi")
+    members = small.select(F.col("component").alias("cluster"), F.lit(None).cast("long").alias("part"), "node").union(
+        apart.select(F.xxhash64("nodes"), F.hash("nodes").cast("long"), F.explode("nodes"))
     )
-    crossing = crossing.mapInArrow(_crossing(percent), "a long, b long").distinct()
-    tried = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    crossing = stored(crossing.join(tried, ["a", "b"], "left_anti"), "crossing")
-    if not crossing.isEmpty():
-        more = _linked(crossing, sets, percent)
+    members = stored(members, "members")
+    if not members.isEmpty():
+        more = _links(rows, members, n, percent)
         joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     found = salted_join(nodes, joined, ["node"])

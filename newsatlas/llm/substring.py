@@ -52,15 +52,15 @@ def unpack_places(docs: bytes, sizes: bytes, gaps: bytes) -> tuple[np.ndarray, n
 class Words:
     """The words of some documents, one after the other, in order of (doc_id, text)."""
 
-    def __init__(self, rows: list[tuple]):
+    def __init__(self, rows: list[tuple], keep: bool = False):
         rows = sorted(((_NULL_ID if i is None else i, t or b"") for i, t in rows))
         split = [words_of(t) for _, t in rows]
         self.ids = np.array([i for i, _ in rows], np.int64)
         self.sizes = np.fromiter(map(len, split), np.int64, len(split))
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.split = split
+        self.split = split if keep else None
         self.hashes = word_hashes([w for words in split for w in words])
-        self.owner = np.repeat(np.arange(len(split)), self.sizes)
+        self.owner = np.repeat(np.arange(len(split), dtype=np.int32), self.sizes)
         self.place = np.arange(len(self.hashes)) - self.starts[self.owner]
 
     def runs(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -272,8 +272,8 @@ def _cut(window: int):
     """Each document of a share without the words of its found windows."""
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
-        words = Words(_rows_of(docs))
-        cover = np.zeros(len(words.hashes) + 1, np.int64)
+        words = Words(_rows_of(docs), keep=True)
+        cover = np.zeros(len(words.hashes) + 1, np.int32)
         number = np.arange(len(words.ids)) - np.searchsorted(words.ids, words.ids, "left")
         for kind, docs_, sizes, gaps in zip(*(found.column(c).to_pylist() for c in ("kind", "docs", "sizes", "gaps"))):
             doc, pos = unpack_places(docs_, sizes, gaps)
@@ -309,11 +309,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, shares: int | None =
     their texts, so that of rows that are wholly equal one keeps its words. Other columns are not read; an empty table gives
     no rows. Runs are compared by 64-bit hashes and, through the share they are sent to, by some bits of a second one.
 
-    ``shares`` (by default ``spark.sql.shuffle.partitions``) divides hashes and documents; a task holds one share, so it should grow with the data.
+    ``shares`` (by default twice ``spark.sql.shuffle.partitions``) divides hashes and documents; a task holds one share at a time,
+    so it should grow with the data.
     """
     if window % 2:
         raise ValueError("the window must be even: a block is half of it")
-    shares, block = shares or partitions(docs.sparkSession), window // 2
+    shares, block = shares or 2 * partitions(docs.sparkSession), window // 2
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hits = (
         rows.mapInArrow(_probe(block, shares), _PARCEL)

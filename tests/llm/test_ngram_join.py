@@ -129,3 +129,26 @@ def test_components(spark):
     expected = {i: 100 for i in range(100, 161)} | {5: 5, 7: 5, 300: 5}
     assert {r["node"]: r["component"] for r in found} == expected and len(found) == len(expected)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_linked_members_by_brute_force():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 40, 300)
+    sets = [np.unique(np.where(rng.random(300) < rng.choice([0.02, 0.05, 0.3]), rng.integers(0, 1 << 40, 300), base)).astype(np.uint64) for _ in range(90)]
+    sets += [np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(20)]
+    first = list(range(len(sets)))
+    changed = True
+    while changed:
+        changed = False
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= 85 * (len(x) + len(y) - both) and first[j] < first[i]:
+                    first[i], changed = first[j], True
+    assert ngram_join.linked_members(sets, 85).tolist() == first
+
+
+def test_overlapping_pieces_apart(docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", 5)
+    rows = made(6, 80)
+    assert ours(docs(rows).repartition(4)) == brute(rows)
