@@ -62,16 +62,20 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     them apart. A null ``doc_id`` never wins against a number; a group without any number has a null ``keep_id``, and its
     rows are kept. An empty table gives no rows. Columns other than the two are not read.
     """
-    # As SQL lists are joined back by block, each block has a name.
     local = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = local.mapInArrow(_combine_block, _LOCAL)
     # Each block's row is named by what is in it: equal names have equal members, and are met once each.
     blocks = stored(
         blocks.withColumn("block", F.xxhash64("digest", F.to_json("members"), F.lit("block"))), "exact-blocks"
     )
-    salt = F.pmod(F.col("block"), F.lit(salts)).cast("int")
+    # A digest of one block has nothing to be compared with. The others meet by digest and salt, where they are combined as well.
+    salted = blocks.withColumn("salt", F.pmod("block", F.lit(salts)).cast("int"))
+    several = blocks.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1")
+    several = several.select("digest", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     shares = (
-        blocks.groupBy("digest", salt.alias("salt"), "content")
+        salted.select("digest", "salt", "content", "rep_id", "rows", "block")
+        .join(several, ["digest", "salt"])
+        .groupBy("digest", "salt", "content")
         .agg(F.max("rep_id").alias("rep_id"), F.sum("rows").alias("rows"), F.collect_set("block").alias("blocks"))
     )
     groups = (
@@ -83,9 +87,12 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
         )
         .select("digest", "keep_id", "group_size", F.explode("blocks").alias("block"))
     )
-    members = blocks.select("digest", "block", "members")
+    members = blocks.select("digest", "block", "members", "rep_id", "rows")
+    # Without a group a block is one of its own; groups of ids that are all null have none to keep.
     return (
-        members.join(groups, ["digest", "block"])
+        members.join(groups, ["digest", "block"], "left")
+        .withColumn("keep_id", F.when(F.col("group_size").isNull(), F.col("rep_id")).otherwise(F.col("keep_id")))
+        .withColumn("group_size", F.coalesce("group_size", "rows"))
         .select(F.explode("members").alias("doc_id"), "keep_id", "group_size", "digest")
         .select(
             "doc_id",

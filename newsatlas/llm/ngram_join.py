@@ -31,12 +31,16 @@ SHINGLE, PERCENT = 4, 85
 #: Counters that n-grams are counted in, by hash, for the order of rarity.
 COUNTERS = 1 << 18
 _SLICES = 64
-#: Members of a list that one task holds, about; longer lists are divided by salt.
+#: Members of a piece of a list, at most; longer lists are divided.
 LIST_ROWS = 2048
+#: Members of a list in one block of documents from which on they are a piece of their own.
+LOCAL_ROWS = 64
+#: Sets that are compared in one task, at most, where pieces overlap.
+MEET_ROWS = 4096
 #: Members that are compared with a leader in one task, about.
 TOGETHER = 256
 #: Sets of a cluster that have an n-gram, up to which it is counted pair by pair.
-FEW = 32
+FEW = 16
 
 
 def shingles(text: bytes | None, n: int) -> np.ndarray:
@@ -155,27 +159,37 @@ def _postings(shared, n: int):
                 if doc_id is None or not len(own) or digest in seen:
                     continue
                 seen.add(digest)
-                size = len(own)
-                found = [subset_keys(own, p)] if size <= order.boundary else []
-                if size >= needed(order.boundary + 1, p):
-                    found.append(order.ranked(own)[: size - needed(size, p) + 1])
+                many = len(own)
+                found = [subset_keys(own, p)] if many <= order.boundary else []
+                if many >= needed(order.boundary + 1, p):
+                    found.append(order.ranked(own)[: many - needed(many, p) + 1])
                 for k in found:
                     keys.append(k)
-                    sizes.append(np.full(len(k), size))
+                    sizes.append(np.full(len(k), many))
                     docs.append(np.full(len(k), doc_id))
             if not keys:
                 continue
             key, doc = np.concatenate(keys), np.concatenate(docs)
             # How many members a list may have, from the counters: as many salts as keep its shares bounded.
-            # Salts count from 0; a list that isn't divided has -1.
-            salts = order.counts[(key % np.uint64(COUNTERS)).astype(np.int64)] // LIST_ROWS + 1
-            salt = (mixed(doc.astype(np.int64).view(np.uint64)) % salts.astype(np.uint64)).astype(np.int32)
-            salt[salts == 1] = -1
+            size = np.concatenate(sizes)
+            # A list that has many members here already is a piece of its own, and sends on the ends of its size classes.
+            order_ = np.lexsort((doc, size, key))
+            key, size, doc = key[order_], size[order_], doc[order_]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            own = np.diff(np.append(first, len(key)))
+            salt = np.where(np.repeat(own >= LOCAL_ROWS, own), int(doc.min()) & 0x7FFFFFFF, -1).astype(np.int32)
+            ends = []
+            for a, n_own in zip(first[own >= LOCAL_ROWS].tolist(), own[own >= LOCAL_ROWS].tolist()):
+                starts = [a + i for i in _runs(size[a : a + n_own].tolist(), p)]
+                ends += starts + [i - 1 for i in starts[1:]] + [a + n_own - 1]
+            ends = np.array(ends, np.int64)
+            key, size, doc = (np.concatenate([c, c[ends]]) for c in (key, size, doc))
+            salt = np.concatenate([salt, np.full(len(ends), -1, np.int32)])
             yield pa.RecordBatch.from_pydict(
                 {
                     "key": pa.array(key.view(np.int64)),
                     "salt": pa.array(salt),
-                    "size": pa.array(np.concatenate(sizes), pa.int32()),
+                    "size": pa.array(size, pa.int32()),
                     "doc_id": pa.array(doc, pa.int64()),
                 }
             )
@@ -337,29 +351,33 @@ def linked_members(sets: list[np.ndarray], percent: int) -> np.ndarray:
     _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     order = np.argsort(column, kind="stable")
     owner, column, often = owner[order], column[order], count[column[order]]
-    both = np.zeros(m * m, np.int64)
+    both = np.zeros(m * m, np.int32)
     few = (often > 1) & (often <= FEW)
     light, own = column[few], owner[few]
     for k in range(1, FEW):
         same = np.flatnonzero(light[k:] == light[:-k])
         if not len(same):
             break
-        both += np.bincount(own[same] * m + own[same + k], minlength=m * m)
+        np.add.at(both, own[same] * m + own[same + k], 1)
+        np.add.at(both, own[same + k] * m + own[same], 1)
     both = both.reshape(m, m)
-    both += both.T
     heavy, own = np.unique(column[often > FEW], return_inverse=True)[1], owner[often > FEW]
-    width = max(1, 4_000_000 // m)
+    width, rows = max(1, 4_000_000 // m), max(1, 1_000_000 // m)
     for start in range(0, int(heavy[-1]) + 1 if len(heavy) else 0, width):
         a, b = np.searchsorted(heavy, [start, start + width])
         incidence = np.zeros((m, int(heavy[b - 1]) - start + 1), np.float32)
         incidence[own[a:b], heavy[a:b] - start] = 1
-        both += (incidence @ incidence.T).astype(np.int64)
-    union = sizes[:, None] + sizes[None, :] - both
-    linked = 100 * both >= percent * union
+        for i in range(0, m, rows):
+            both[i : i + rows] += (incidence[i : i + rows] @ incidence.T).astype(np.int32)
+    linked = np.zeros((m, m), bool)
+    for i in range(0, m, rows):
+        union = sizes[i : i + rows, None] + sizes[None, :] - both[i : i + rows]
+        linked[i : i + rows] = 100 * both[i : i + rows].astype(np.int64) >= percent * union
+    del both
     np.fill_diagonal(linked, True)
     first = np.arange(m)
     while True:
-        new = np.where(linked, first[None, :], m).min(axis=1)
+        new = np.concatenate([np.where(linked[i : i + rows], first[None, :], m).min(axis=1) for i in range(0, m, rows)])
         if (new == first).all():
             return first
         first = new
@@ -443,8 +461,11 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
 
     # Lists of more than a pair whose members are in several components by now.
     piece = F.xxhash64("key", "salt", F.col("docs")[0])
-    longer = lists.filter(F.col("divided") | (F.size("docs") > 2)).withColumn("piece", piece)
-    longer = longer.withColumn("key", F.when(F.col("divided"), F.col("key")).otherwise(F.col("piece")))
+    # Of a list that is divided anywhere, all pieces belong together.
+    piece = F.xxhash64("key", "salt", F.col("docs")[0])
+    divided = lists.filter("divided").select("key", F.lit(True).alias("more")).distinct()
+    longer = lists.join(divided, "key", "left").filter(F.col("more") | (F.size("docs") > 2)).withColumn("piece", piece)
+    longer = longer.withColumn("key", F.when(F.col("more"), F.col("key")).otherwise(F.col("piece")))
     component = of.join(joined.withColumnRenamed("component", "joined"), "node", "left").select(
         "doc_id", "node", F.coalesce("joined", "node").alias("component")
     )
@@ -462,8 +483,8 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     # Pieces that overlap are compared as one while they are few enough, so that a set is sent once; beyond that each for itself.
     meeting = components(together.select(F.explode("nodes").alias("a"), F.col("nodes")[0].alias("b")))
     sizes = meeting.groupBy("component").agg(F.count("*").alias("n"))
-    small = salted_join(meeting, sizes.filter(F.col("n") <= LIST_ROWS), ["component"], how="inner")
-    large = meeting.join(sizes.filter(F.col("n") > LIST_ROWS), "component").select(F.col("node").alias("first"))
+    small = salted_join(meeting, sizes.filter(F.col("n") <= MEET_ROWS), ["component"], how="inner")
+    large = meeting.join(sizes.filter(F.col("n") > MEET_ROWS), "component").select(F.col("node").alias("first"))
     apart = together.withColumn("first", F.col("nodes")[0]).join(large, "first", "left_semi")
     members = small.select(F.col("component").alias("cluster"), F.lit(None).cast("long").alias("part"), "node").union(
         apart.select(F.xxhash64("nodes"), F.hash("nodes").cast("long"), F.explode("nodes"))

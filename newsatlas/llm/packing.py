@@ -7,6 +7,7 @@ tasks could not fill, so that many small tasks waste no more than few large ones
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,7 +19,7 @@ from .common import chunks, stored
 
 LENGTH = 2048
 OPEN_BINS = 256
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 #: Sequence numbers of a task start at its number times this.
 PER_TASK = 1 << 33
 #: Tasks whose unfilled bins are packed again together.
@@ -80,15 +81,22 @@ class WordIds:
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
-        self.tokenizer, self.most, self.known = _tokenizer(path), most, {}
+        self.tokenizer, self.most, self.known, self.older = _tokenizer(path), most, {}, {}
 
     def learn(self, words: set[bytes]) -> None:
+        """Have the ids of all these words. Of the others, those not met for long are forgotten."""
         if len(self.known) > self.most:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for w in words:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    new.append(w)
         found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         for word, encoded in zip(new, found):
-            self.known[word] = np.array(encoded.ids, "<u4").tobytes()
+            known[word] = array("I", encoded.ids).tobytes()
 
     def rows(self, rows: list[tuple]) -> list[tuple]:
         """Rows (doc_id, text) with the text's ids in its place."""
@@ -105,6 +113,12 @@ class WordIds:
         return out
 
 
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> WordIds:
+    """One for each worker process, so that its tasks share what it has learnt."""
+    return WordIds(path)
+
+
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, place long, used long"
 _TYPES = pa.schema(
     [
@@ -120,7 +134,7 @@ def _pack_task(path: str, length: int, most: int, end_id: int):
 
     def pack(batches):
         """Pieces, and at the end a row (bin, used) for each bin that is still open."""
-        bins, ids = OpenBins(length, most), WordIds(path)
+        bins, ids = OpenBins(length, most), _word_ids(path)
         task = TaskContext.get().partitionId() * PER_TASK
         for rows in chunks(batches, ["doc_id", "text"], most=4_000_000):
             out = []

@@ -82,6 +82,7 @@ def test_made_texts(docs, seed):
 
 def test_divided_lists(docs, monkeypatch):
     monkeypatch.setattr(ngram_join, "LIST_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "LOCAL_ROWS", 2)
     rows = made(3, 60)
     assert ours(docs(rows).repartition(4)) == brute(rows)
 
@@ -149,6 +150,6 @@ def test_linked_members_by_brute_force():
 
 
 def test_overlapping_pieces_apart(docs, monkeypatch):
-    monkeypatch.setattr(ngram_join, "LIST_ROWS", 5)
+    monkeypatch.setattr(ngram_join, "MEET_ROWS", 5)
     rows = made(6, 80)
     assert ours(docs(rows).repartition(4)) == brute(rows)
