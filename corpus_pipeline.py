@@ -29,10 +29,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: that of the largest id, and of its repeated rows the least."""
     sha = F.sha2(F.encode(_folded(F.coalesce("text", F.lit(""))), "UTF-8"), 256)
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), sha.alias("sha"))
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256").distinct()
-    same = rows["id"].eqNullSafe(kept["kept_id"]) & (rows["sha"] == kept["text_sha256"])
-    return rows.join(kept, same, "left_semi").groupBy("id", "sha").agg(F.min("row").alias("row")).select("row.*")
+    rows = docs.select(F.struct("*").alias("row"), _id(F.col("doc_id").cast("long")).alias("id"), sha.alias("sha"))
+    found = exact_groups(docs).groupBy(_id(F.col("doc_id")).alias("id"), F.col("text_sha256").alias("sha"))
+    found = found.agg(F.max("kept").alias("kept"), F.count("*").alias("n")).filter("kept")
+    rows = rows.join(found, ["id", "sha"])
+    again = rows.filter("n > 1").groupBy("id", "sha").agg(F.min("row").alias("row"))
+    return rows.filter("n = 1").select("row").union(again.select("row")).select("row.*")
+
+
+def _id(doc_id):
+    """An id as text, in which a null is equal to itself."""
+    return F.coalesce(doc_id.cast("string"), F.lit(""))
 
 
 def _folded(text):
