@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 _M = np.uint64(0x9E3779B97F4A7C15)  # an odd multiplier
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once, which may not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).parents[2]
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / "newsatlas.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted((root / "newsatlas").rglob("*.py")):
+                out.write(file, file.relative_to(root))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -64,15 +83,15 @@ def chunks(
     held, size = [], 0
     at = columns.index("text")
     for batch in batches:
-        lists = [
-            texts_of(batch.column(c)) if c == "text" else batch.column(c).to_pylist() for c in columns
-        ]
-        for row in zip(*lists):
-            held.append(row)
-            size += len(row[at] or b"") + 64
-            if size >= most:
-                yield held
-                held, size = [], 0
+        for start in range(0, batch.num_rows, 256):  # few rows at once, as the batch itself is held too
+            part = batch.slice(start, 256)
+            lists = [texts_of(part.column(c)) if c == "text" else part.column(c).to_pylist() for c in columns]
+            for row in zip(*lists):
+                held.append(row)
+                size += len(row[at] or b"") + 64
+                if size >= most:
+                    yield held
+                    held, size = [], 0
     if held:
         yield held
 

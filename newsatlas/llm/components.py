@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import salted_join, stored
+from .common import stored
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -16,7 +16,7 @@ def components(links: DataFrame) -> DataFrame:
 
     In each round every node's larger neighbours are linked to its smallest one, then its smaller ones; this ends, after
     a number of rounds that grows with the logarithm of the longest path, when every node is linked to its component. Links stay narrow rows of Spark;
-    a node with very many of them is spread over salts, and each round is written to the shared folder. Nulls and links to itself are left out.
+    a node with very many of them is divided by Spark's skew join, and each round is written to the shared folder. Nulls and links to itself are left out.
     """
     a, b = F.col("a"), F.col("b")
     edges = links.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
@@ -25,10 +25,10 @@ def components(links: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        larger = salted_join(both, least, ["u"], how="inner").filter(F.col("v") > F.col("u"))
+        larger = both.join(least, "u").filter(F.col("v") > F.col("u"))
         edges = larger.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        smaller = salted_join(edges, least, ["u"], how="inner")
+        smaller = edges.join(least, "u")
         edges = smaller.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         edges = edges.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u != v").distinct()
         edges = stored(edges, "links")

@@ -24,7 +24,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, mixed, rolled, salted_join, stored, word_hashes, words_of
+from .common import chunks, mixed, rolled, stored, word_hashes, words_of
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
@@ -36,7 +36,7 @@ LIST_ROWS = 2048
 #: Members of a list in one block of documents from which on they are a piece of their own.
 LOCAL_ROWS = 64
 #: Sets that are compared in one task, at most, where pieces overlap.
-MEET_ROWS = 4096
+MEET_ROWS = 3072
 #: Members that are compared with a leader in one task, about.
 TOGETHER = 256
 #: Sets of a cluster that have an n-gram, up to which it is counted pair by pair.
@@ -441,7 +441,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
 
     nodes = summary.filter("slice IS NULL").select("doc_id", "size", "set_a", "set_b")
     equal = nodes.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
-    nodes = stored(salted_join(nodes, equal, ["set_a", "set_b"]).select("doc_id", "size", "node"), "nodes")
+    nodes = stored(nodes.join(equal, ["set_a", "set_b"]).select("doc_id", "size", "node"), "nodes")
     of = nodes.filter("doc_id IS NOT NULL AND size > 0").select("doc_id", "node").distinct()
 
     def mapped(pairs: DataFrame) -> DataFrame:
@@ -454,7 +454,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     pairs = stored(mapped(stars.mapInArrow(_stars(percent), "a long, b long").distinct()), "pairs")
     # A leader with its members, in clusters of bounded size.
     often = pairs.groupBy("b").agg((F.floor(F.count("*") / F.lit(TOGETHER)) + 1).alias("parts"))
-    dealt = salted_join(pairs, often, ["b"], how="inner").withColumn("part", F.pmod(F.xxhash64("a"), "parts"))
+    dealt = pairs.join(often, "b").withColumn("part", F.pmod(F.xxhash64("a"), "parts"))
     own = often.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("b").alias("node"))
     clusters = dealt.select("b", "part", F.col("a").alias("node")).union(own).withColumnRenamed("b", "cluster")
     joined = components(_links(rows, clusters, n, percent))
@@ -483,7 +483,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     # Pieces that overlap are compared as one while they are few enough, so that a set is sent once; beyond that each for itself.
     meeting = components(together.select(F.explode("nodes").alias("a"), F.col("nodes")[0].alias("b")))
     sizes = meeting.groupBy("component").agg(F.count("*").alias("n"))
-    small = salted_join(meeting, sizes.filter(F.col("n") <= MEET_ROWS), ["component"], how="inner")
+    small = meeting.join(sizes.filter(F.col("n") <= MEET_ROWS), "component")
     large = meeting.join(sizes.filter(F.col("n") > MEET_ROWS), "component").select(F.col("node").alias("first"))
     apart = together.withColumn("first", F.col("nodes")[0]).join(large, "first", "left_semi")
     members = small.select(F.col("component").alias("cluster"), F.lit(None).cast("long").alias("part"), "node").union(
@@ -494,7 +494,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
         more = _links(rows, members, n, percent)
         joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
-    found = salted_join(nodes, joined, ["node"])
+    found = nodes.join(joined, "node", "left")
     return found.select(
         "doc_id",
         F.col("size").alias("n_shingles"),

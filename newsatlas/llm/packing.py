@@ -6,6 +6,7 @@ tasks could not fill, so that many small tasks waste no more than few large ones
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -19,7 +20,7 @@ from .common import chunks, stored
 
 LENGTH = 2048
 OPEN_BINS = 256
-CACHED_WORDS = 600_000
+CACHED_WORDS = 250_000
 #: Sequence numbers of a task start at its number times this.
 PER_TASK = 1 << 33
 #: Tasks whose unfilled bins are packed again together.
@@ -73,10 +74,24 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+_LAST_MARK = re.compile(rb"(?<=[a-z])[.,](?=[ \n]|$)")
+
+
+def plain_words(text: bytes) -> list[bytes]:
+    """Words with the tokens of the text's words, but fewer different ones.
+
+    The tokenizer lower-cases and divides letters from marks, so that A-Z may be lower-cased here, and a
+    full stop or comma that ends a word be a word. Where a control string may stand, the text is left as it is.
+    """
+    if b"<|" in text:
+        return text.split()
+    return _LAST_MARK.sub(rb" \g<0>", text.lower()).split()
+
+
 class WordIds:
     """Token ids, as little-endian 32-bit numbers, of a text by its words.
 
-    This is right for tokenizers that never join across ASCII white space and drop it, as
+    This is right for tokenizers that lower-case, drop ASCII white space and never join across it, nor letters and marks, as
     the word-end BPE does; a text is then the sequence of its words' ids. Words are cached, within a bound.
     """
 
@@ -104,7 +119,7 @@ class WordIds:
         while at < len(rows):  # a few rows at once, so that few new words are held
             some, size = [], 0
             while at < len(rows) and (not some or size < 4_000_000):
-                some.append((rows[at][0], (rows[at][1] or b"").split()))
+                some.append((rows[at][0], plain_words(rows[at][1] or b"")))
                 size += len(rows[at][1] or b"")
                 at += 1
             self.learn({w for _, words in some for w in words})
