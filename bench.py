@@ -12,8 +12,8 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -105,7 +105,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    root = tempfile.mkdtemp(prefix="run-")
+    root = f"{spark.conf.get('spark.sql.warehouse.dir')}/bench-{uuid.uuid4().hex}"  # a place that executors share
     start = time.perf_counter()
     derived = derived_feed(spark, SF_DIR)
     for table in schemas.TABLES:

@@ -1,8 +1,9 @@
 """The three tables every analysis reads."""
 
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsatlas import schemas
 
@@ -30,6 +31,11 @@ class Feed:
         """Open the catalog tables or views named ``events``, ``mentions`` and ``gkg``."""
         return cls(**{name: spark.table(name) for name in schemas.TABLES})
 
+    def between(self, first_day: date, last_day: date) -> "Feed":
+        """The rows of these days, both included; the days are partitions of the stored tables, and others are not read."""
+        inside = F.col("event_date").between(first_day, last_day)
+        return Feed(**{name: getattr(self, name).filter(inside) for name in schemas.TABLES})
+
     def create_views(self) -> None:
         """Expose the tables to SQL under their own names."""
         for name in schemas.TABLES:

@@ -8,9 +8,6 @@ from newsatlas.operators.ranking import latest_per_key
 
 # A key is heavy beyond this many rows; one task should not get more of them.
 ROWS_PER_TASK = 1_000_000
-# At most this many heavy keys are handed to every task. Any key left out has under 1/1000 of all
-# rows, so that an ordinary shuffle partition can hold it.
-MAX_HEAVY_KEYS = 1_000
 
 
 def _fan(rows: str, rows_per_task: int) -> Column:
@@ -21,18 +18,8 @@ def _fan(rows: str, rows_per_task: int) -> Column:
 def heavy_keys(
     lookup: DataFrame, key: str, rows: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Keys with too many rows for one task and the number of tasks to spread each over.
-
-    The order names every column of ``lookup``: with the same columns in use as in the join, Spark
-    computes the aggregate behind it once.
-    """
-    others = [c for c in lookup.columns if c not in (key, rows)]
-    return (
-        lookup.filter(F.col(rows) > rows_per_task)
-        .orderBy(F.col(rows).desc(), key, *others)
-        .limit(MAX_HEAVY_KEYS)
-        .select(key, _fan(rows, rows_per_task).alias("_fan"))
-    )
+    """All keys with too many rows for one task and the number of tasks to spread each over."""
+    return lookup.filter(F.col(rows) > rows_per_task).select(key, _fan(rows, rows_per_task).alias("_fan"))
 
 
 def spread_join(
@@ -49,11 +36,11 @@ def spread_join(
     ``lookup`` has at most one row per key, with the number of its facts (or more) in column
     ``rows``, which does not come out; a key without a lookup row is not divided. The salt is a hash of the ``spread_by`` columns, so that a task that is
     run again makes the same choice; these columns should tell apart the facts of a key. A lookup
-    row is repeated for every salt its facts can have; keys that are not heavy only have salt 0. The
-    broadcast side has MAX_HEAVY_KEYS rows at most, and the repeated rows number no more than
-    facts / ``rows_per_task``.
+    row is repeated for every salt its facts can have; keys that are not heavy only have salt 0. The heavy
+    keys and the repeated rows number no more than facts / ``rows_per_task``; whether the keys are broadcast is left to Spark,
+    which sees their size when it runs.
     """
-    heavy = F.broadcast(heavy_keys(lookup, key, rows, rows_per_task))
+    heavy = heavy_keys(lookup, key, rows, rows_per_task)
     salt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_fan", F.lit(1))).cast("int")
     salted = facts.join(heavy, key, "left").withColumn("_salt", salt).drop("_fan")
     salts = F.sequence(F.lit(0), _fan(rows, rows_per_task) - 1)
@@ -70,13 +57,12 @@ def lookup_few(
 ) -> DataFrame:
     """Left join of a few rows (the result of a LIMIT) to the newest ``table`` row per key.
 
-    The keys travel to the table, not the table to them: it is scanned once with a broadcast semi
-    join, its repeats of a key are merged in every task, and only what is left is shuffled. Neither
-    broadcast side has more rows than ``few``.
+    The keys travel to the table, not the table to them: Spark knows the size of a LIMIT and broadcasts it, the table is
+    scanned once with a semi join, its repeats of a key are merged in every task, and only what is left is shuffled. No
+    broadcast is forced, so that a frame that isn't small is joined by shuffle.
 
     ``few`` is needed twice. Spark computes its shuffles once if both uses read the same columns, so
     its ORDER BY should name all columns that come out of an aggregate.
     """
-    wanted = F.broadcast(few.select(key).distinct())
-    matching = table.join(wanted, key, "left_semi")
-    return few.join(F.broadcast(latest_per_key(matching, key, newest, attributes)), key, "left")
+    matching = table.join(few.select(key), key, "left_semi")
+    return few.join(latest_per_key(matching, key, newest, attributes), key, "left")

@@ -88,7 +88,7 @@ def breaking_news(
         .filter(F.col("moment").isNotNull())
     )
     merged = timed.groupBy(EVENT, "moment", "source").agg(F.count("*").alias("mentions"))
-    firsts = timed.groupBy(EVENT).agg(F.min("moment").alias("first"), F.count("*").alias("rows"))
+    firsts = merged.groupBy(EVENT).agg(F.min("moment").alias("first"), F.sum("mentions").alias("rows"))
     dated = spread_join(
         merged, firsts, EVENT, "rows", spread_by=["moment", "source"], rows_per_task=rows_per_task
     )

@@ -8,6 +8,7 @@ from newsatlas.sources.history import (
     read_results,
     stored_results,
     summary,
+    summary_totals,
 )
 from newsatlas.sources.landing import (
     drop_empty_columns,

@@ -16,8 +16,8 @@ PAGE_ROWS = 1000
 
 
 def _hour_of(moment: Column) -> Column:
-    """The hour as a number, ``yyyyMMddHH``."""
-    return F.date_format(moment, "yyyyMMddHH").cast("int")
+    """Hours since 1970 in UTC, whatever the session's time zone."""
+    return F.floor(F.unix_timestamp(moment) / F.lit(3600)).cast("int")
 
 
 def append_results(
@@ -35,8 +35,10 @@ def append_results(
 
 
 def read_results(spark: SparkSession, root: str, result: str) -> DataFrame:
-    """All stored rows of a result."""
-    return spark.read.parquet(f"{root}/{result}")
+    """All stored rows of a result, with the columns of all cycles; without any an empty frame."""
+    if not _hours(spark, root, result):
+        return spark.createDataFrame([], "created_at timestamp, created_hour int")
+    return spark.read.option("mergeSchema", True).parquet(f"{root}/{result}")
 
 
 def live_results(df: DataFrame, now: datetime | None = None, keep: timedelta = RETENTION) -> DataFrame:
@@ -85,12 +87,12 @@ def expire_results(
     Only directory names are listed. The hour in which the limit falls stays until all of it has
     expired; :func:`live_results` hides its old rows.
     """
-    moment = now or datetime.now(timezone.utc).replace(tzinfo=None)
-    first_kept = f"created_hour={(moment - keep).strftime('%Y%m%d%H')}"
+    moment = now or datetime.now(timezone.utc)
+    first_kept = int((moment - keep).timestamp() // 3600)
     removed = 0
     for result in stored_results(spark, root):
         for hour in _hours(spark, root, result):
-            if hour < first_kept:
+            if int(hour.partition("=")[2]) < first_kept:
                 fs, path = _file_system(spark, f"{root}/{result}/{hour}")
                 removed += bool(fs.delete(path, True))
     return removed
@@ -100,8 +102,11 @@ def summary(results: dict[str, DataFrame]) -> DataFrame:
     """Per stored result: title, distinct rows, all rows, and whether it has a chart.
 
     Every row is reduced to its name and content; copies are merged before the shuffle. One job
-    covers all results, although their columns differ.
+    covers all results, although their columns differ. No results give no rows.
     """
+    if not results:
+        spark = SparkSession.active()
+        return spark.createDataFrame([], "nombre string, titulo string, tiene_grafico boolean, filas long, total long")
     parts = [
         df.drop("created_at", "created_hour").select(
             F.lit(position).alias("position"),
@@ -125,3 +130,12 @@ def summary(results: dict[str, DataFrame]) -> DataFrame:
         .orderBy("position")
         .drop("position")
     )
+
+
+def summary_totals(results: DataFrame) -> DataFrame:
+    """One row over a :func:`summary`: the number of results, distinct rows and all rows."""
+    return results.agg(
+        F.count("*").alias("analisis"),
+        F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"),
+        F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
+    )

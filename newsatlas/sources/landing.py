@@ -105,6 +105,25 @@ def write_table(df: DataFrame, root: str, table: str, replace_days: bool = False
     )
 
 
+#: Column of the rows of a stream: the batch they came in. Readers of the declared schemas don't see it.
+BATCH = "_batch"
+
+
+def holds_batch(spark: SparkSession, root: str, table: str, tag: str) -> bool:
+    """Whether the table has rows of a batch; one column is read, and only where its bounds admit the tag."""
+    if not exists(spark, f"{root}/{table}"):
+        return False
+    stored = spark.read.schema(f"{BATCH} string").parquet(f"{root}/{table}")
+    return not stored.filter(F.col(BATCH) == tag).isEmpty()
+
+
+def exists(spark: SparkSession, path: str, file: bool = False) -> bool:
+    """Whether there is a folder or file, or with ``file`` a file, on any file system that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.isFile(place) if file else system.exists(place)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Store a result as JSON lines, written by the tasks that computed it."""
     (

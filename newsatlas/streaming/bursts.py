@@ -10,6 +10,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from newsatlas.functions import feed_timestamp, feed_timestamp_prefix
 from newsatlas.plans.common import EVENT
+from newsatlas.streaming.counts import not_ahead
 
 _HOUR_SECONDS = 3600
 
@@ -26,7 +27,7 @@ def escalation_windows(mentions: DataFrame, delay: str = "1 hour") -> DataFrame:
     hourly = (
         mentions.filter(F.col(EVENT).isNotNull())
         .select(EVENT, feed_timestamp("MentionTimeDate").alias("moment"))
-        .filter(F.col("moment").isNotNull())
+        .filter(F.col("moment").isNotNull() & not_ahead("moment", delay))
         .withWatermark("moment", delay)
         .groupBy(F.window("moment", "1 hour"), EVENT)
         .agg(F.count("*").alias("mentions"))
@@ -60,7 +61,7 @@ def breaking_hours(
             feed_timestamp_prefix("MentionTimeDate").alias("moment"),
             F.coalesce("MentionSourceName", F.lit("SIN_FUENTE")).alias("source"),
         )
-        .filter(F.col("moment").isNotNull())
+        .filter(F.col("moment").isNotNull() & not_ahead("moment", delay))
         .select(EVENT, F.unix_timestamp("moment").alias("second"), "source")
     )
     # Copies are merged before the shuffle; a streaming aggregate must not precede the state.

@@ -2,25 +2,38 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from newsatlas.functions import feed_date
 from newsatlas.plans.common import EVENT
 
 
 def slice_counts(
     rows: DataFrame, moment: str, keys: Sequence[str], delay: str = "1 hour", length: str = "15 minutes"
 ) -> DataFrame:
-    """Rows per feed slice and keys, each slice final once the watermark has passed it."""
+    """Rows per feed slice and keys, each slice final once the watermark has passed it.
+
+    Moments further ahead of the clock than ``delay`` are left out: one of them would move the watermark for good.
+    """
     return (
-        rows.withWatermark(moment, delay)
+        rows.filter(not_ahead(moment, delay))
+        .withWatermark(moment, delay)
         .groupBy(F.window(moment, length), *keys)
         .agg(F.count("*").alias("n"))
         .select(F.col("window.start").alias("slice"), *keys, "n")
     )
 
 
-def first_seen(events: DataFrame, delay: str = "6 hours") -> DataFrame:
-    """Each event id once, as long as its repeats come within ``delay``; state older is dropped."""
-    timed = events.withColumn("event_ts", feed_date("SQLDATE").cast("timestamp"))
-    return timed.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark([EVENT])
+def first_seen(events: DataFrame, delay: str = "6 hours", arrival: str | None = None) -> DataFrame:
+    """Each event id once, as long as its repeats arrive within ``delay``; state older is dropped.
+
+    Time is that of arrival: the column ``arrival``, or else the clock of each batch. The day of an event has no part
+    in it, so that an older event that was never seen is not late.
+    """
+    moment = F.current_timestamp() if arrival is None else F.col(arrival)
+    timed = events.withColumn("_arrival", moment).withWatermark("_arrival", delay)
+    return timed.dropDuplicatesWithinWatermark([EVENT]).drop("_arrival")
+
+
+def not_ahead(moment: str, delay: str) -> Column:
+    """False for moments later than the clock of the batch by more than ``delay``."""
+    return F.col(moment) <= F.current_timestamp() + F.expr(f"INTERVAL {delay}")

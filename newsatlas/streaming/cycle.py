@@ -2,13 +2,13 @@
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsatlas.feed import Feed
 from newsatlas.plans import run_all
 from newsatlas.sources import append_results, expire_results
-from newsatlas.sources.landing import raw_schema, typed, with_day
+from newsatlas.sources.landing import BATCH, holds_batch, raw_schema, typed, write_table
 
 
 def read_slices(
@@ -30,18 +30,30 @@ def ingest(
     every: str | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Append landed slices to the Parquet table ``root/table``, each exactly once.
+    """Append landed slices to the Parquet table ``root/table``, each once.
+
+    They go through :func:`write_table`, so that slices and loads of other origin are in one table. Rows carry the number of
+    their batch; the first batch after a start may be one that is repeated, and is left out if its rows are there.
 
     Without ``every`` it takes in what is there and stops; otherwise it keeps polling.
     """
-    rows = with_day(read_slices(spark, landing, table, files_per_batch), table)
-    writer = (
-        rows.writeStream.format("parquet")
-        .partitionBy("event_date")
+    begun = False
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        nonlocal begun
+        tag = f"{checkpoint}/ingest_{table}/{batch_id}"
+        if begun or not holds_batch(batch.sparkSession, root, table, tag):
+            write_table(batch.withColumn(BATCH, F.lit(tag)), root, table)
+        begun = True
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        read_slices(spark, landing, table, files_per_batch)
+        .writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", f"{checkpoint}/ingest_{table}")
+        .trigger(**trigger)
+        .start()
     )
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start(f"{root}/{table}")
 
 
 def refresh(

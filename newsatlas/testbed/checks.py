@@ -4,7 +4,6 @@ Next to the nineteen analyses there is a query for every column builder and oper
 whole derived tables, so that each is checked for itself.
 """
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -17,7 +16,7 @@ from newsatlas import sources, streaming
 from newsatlas.feed import Feed
 from newsatlas.plans import ANALYSES, Analysis, find
 from newsatlas.plans.common import COUNTRY, EVENT
-from newsatlas.sources.landing import with_day
+from newsatlas.sources.landing import exists, with_day
 from newsatlas.testbed import oracle
 from newsatlas.testbed.derived import derived_feed, news_events, news_mentions
 
@@ -508,9 +507,13 @@ def _on_stream(sql: str):
     def decorate(build: Callable[[DataFrame], DataFrame]):
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
             path = f"{sf_dir}/events.parquet"
-            # The reader wants a pattern or directory, not the name of a file.
-            arriving = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}*")
-            shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+            # The reader wants a directory; where the table is one file, its name is the pattern in it.
+            reader = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", "*.parquet")
+            if exists(spark, path, file=True):
+                arriving = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+            else:
+                arriving = reader.parquet(path)
+            shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
             run = f"{shared}/{build.__name__}-{uuid.uuid4().hex}"
             build(arriving).writeStream.option("checkpointLocation", f"{run}/checkpoint").trigger(
                 availableNow=True

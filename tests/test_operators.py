@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsatlas import operators as op
+from newsatlas.operators.joins import heavy_keys
 
 
 @pytest.fixture(scope="module")
@@ -91,3 +92,11 @@ def test_explode_delimited_drops_null_text_and_keeps_blank_items(spark, rows):
     assert rows(op.explode_delimited(df, F.col("s"), "item", ["i"])) == [
         (1, "a"), (1, "b"), (1, ""), (3, "")
     ]
+
+
+def test_every_heavy_key_is_divided(spark):
+    facts = spark.range(6000).selectExpr("id % 1500 AS k", "id AS v")
+    lookup = facts.groupBy("k").count().withColumnRenamed("count", "n").withColumn("name", F.col("k") * 2)
+    joined = op.spread_join(facts, lookup, "k", "n", spread_by=["v"], rows_per_task=2)
+    assert joined.count() == 6000 and joined.filter("name != 2 * k").isEmpty()
+    assert heavy_keys(lookup, "k", "n", 2).count() == 1500

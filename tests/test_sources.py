@@ -1,11 +1,11 @@
 import json
 import os
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from newsatlas import sources
+from newsatlas import Feed, sources
 from newsatlas.plans import ANALYSES, catalog, find, run_all
 
 
@@ -142,3 +142,40 @@ def test_run_all_survives_a_failing_analysis(spark, feed, tmp_path):
     assert list(failures) == ["cameo_by_region"] and len(done) == 18
     with pytest.raises(ValueError):
         raise failures["cameo_by_region"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Tokyo"])
+def test_expiry_follows_no_time_zone(spark, tmp_path, zone):
+    df = spark.createDataFrame([(1,)], "n int")
+    now = datetime.now(timezone.utc)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for age in (0, 3, 8):
+            sources.append_results(df, str(tmp_path), "r", now - timedelta(hours=age))
+        assert sources.live_results(sources.read_results(spark, str(tmp_path), "r"), now).count() == 2
+        assert sources.expire_results(spark, str(tmp_path), now) == 1
+        assert sources.read_results(spark, str(tmp_path), "r").count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_stored_columns_may_differ_or_be_none(spark, tmp_path, rows):
+    root = str(tmp_path)
+    assert sources.read_results(spark, root, "r").count() == 0
+    sources.append_results(spark.createDataFrame([(1,)], "n int"), root, "r", NOW)
+    sources.append_results(spark.createDataFrame([(2, "x")], "n int, more string"), root, "r", NOW + timedelta(hours=1))
+    stored = sources.read_results(spark, root, "r")
+    assert sorted(rows(stored.select("n", "more"))) == [(1, None), (2, "x")]
+    assert rows(sources.summary({})) == []
+    assert rows(sources.summary_totals(sources.summary({}))) == [(0, 0, 0)]
+    assert rows(sources.summary_totals(sources.summary({"r": stored}))) == [(1, 2, 2)]
+
+
+def test_days_between_are_the_only_ones_read(spark, tmp_path, make, rows):
+    for table, column in (("events", "SQLDATE"), ("mentions", "MentionTimeDate"), ("gkg", "DATE")):
+        days = [20240100 + d if table == "events" else (20240100 + d) * 1_000_000 for d in (1, 2, 3)]
+        sources.write_table(make(table, *({column: d} for d in days)), str(tmp_path), table)
+    part = Feed.from_parquet(spark, str(tmp_path)).between(date(2024, 1, 2), date(2024, 1, 3))
+    assert [part.events.count(), part.mentions.count(), part.gkg.count()] == [2, 2, 2]
+    plan = part.gkg._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan

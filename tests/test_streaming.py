@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 import random
@@ -178,3 +179,45 @@ def test_cycle_from_landing_to_history(spark, tmp_path):
     names = sources.stored_results(spark, history)
     assert names[0] == "mapa_calor_intensidad_conflictos" and "noticias_ultima_hora" in names
     assert "conflictos_pares_paises" not in names
+
+
+def test_first_seen_keeps_older_events_that_are_new(arrive, drain):
+    def event(n, day):
+        return {"GLOBALEVENTID": n, "SQLDATE": day, "EventCode": "1"}
+
+    stream = arrive("events", [[event(1, 20240105)], [event(2, 20240105)], [event(3, 20240104), event(1, 20240105)], [event(4, 20230105)]])
+    got = drain(streaming.first_seen(stream), "older")
+    assert sorted(r.GLOBALEVENTID for r in got.collect()) == [1, 2, 3, 4]
+
+
+def test_loaded_and_arriving_rows_are_in_one_table(spark, tmp_path, make):
+    landing, root, check = (f"{tmp_path}/{d}" for d in ("land", "tables", "check"))
+    sources.write_table(make("events", {"GLOBALEVENTID": 1, "SQLDATE": 20240101}), root, "events")
+    _land(landing, "events", "a", [{"GLOBALEVENTID": 2, "SQLDATE": 20240101}])
+    streaming.ingest(spark, landing, root, "events", check).awaitTermination()
+    sources.write_table(make("events", {"GLOBALEVENTID": 3, "SQLDATE": 20240102}), root, "events")
+    _land(landing, "events", "b", [{"GLOBALEVENTID": 4, "SQLDATE": 20240103}])
+    streaming.ingest(spark, landing, root, "events", check).awaitTermination()
+    stored = spark.read.schema(schemas.EVENTS).parquet(f"{root}/events")
+    assert sorted(r.GLOBALEVENTID for r in stored.collect()) == [1, 2, 3, 4]
+
+
+def test_a_repeated_batch_is_stored_once(spark, tmp_path):
+    landing, root, check = (f"{tmp_path}/{d}" for d in ("land", "tables", "check"))
+    _land(landing, "events", "a", [{"GLOBALEVENTID": 2, "SQLDATE": 20240101}])
+    streaming.ingest(spark, landing, root, "events", check).awaitTermination()
+    os.remove(f"{check}/ingest_events/commits/0")  # as if the stream had ended before noting its batch
+    for crc in glob.glob(f"{check}/ingest_events/commits/.0.crc"):
+        os.remove(crc)
+    streaming.ingest(spark, landing, root, "events", check).awaitTermination()
+    assert spark.read.parquet(f"{root}/events").count() == 1
+
+
+def test_a_stamp_in_the_future_moves_nothing(arrive, drain):
+    def mention(stamp, n=1):
+        return {"GLOBALEVENTID": n, "MentionTimeDate": stamp, "MentionSourceName": "s"}
+
+    days = [[mention(20990101000000), mention(20240101000000)], [mention(20240101000100)], [mention(20240101001000)], [mention(20240102000000)]]
+    moments = arrive("mentions", days).withColumn("moment", F.to_timestamp(F.col("MentionTimeDate").cast("string"), "yyyyMMddHHmmss"))
+    got = {r.slice.isoformat(): r.n for r in drain(streaming.slice_counts(moments, "moment", []), "future").collect()}
+    assert got["2024-01-01T00:00:00"] == 3
