@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -29,6 +31,8 @@ def ship(spark: SparkSession) -> None:
             for file in sorted((root / "newsatlas").rglob("*.py")):
                 out.write(file, file.relative_to(root))
         context.addPyFile(str(archive))
+        # Rows hold whole texts: with the usual 10,000 of them in a batch, batches take most of a worker's memory.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         _SHIPPED.add(context.applicationId)
 
 
@@ -94,6 +98,14 @@ def chunks(
                     held, size = [], 0
     if held:
         yield held
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that a task has freed to the system, as its worker lives on."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

@@ -7,8 +7,8 @@ both. The boundary is the size up to which subsets cost less than lists, by the
 
 Sets that are equal are one node. Lists aren't expanded into pairs: each size class has a leader, and every member is
 compared with that of its class and of the next one. This alone joins most groups of near copies. Only lists whose members
-are still in different components are compared in full then, so that no link between components is lost. Comparisons are made
-where the sets meet, in clusters of bounded size, and give out only the links that join a cluster.
+are still in different components are compared in full then, so that no link between components is lost. What bitmaps of the sets
+exclude isn't compared. Comparisons are made where the sets meet, in clusters of bounded size, and give out only the links that join a cluster.
 """
 
 from __future__ import annotations
@@ -75,6 +75,100 @@ def _left_out(size: int, number: int) -> np.ndarray:
     return np.array(list(combinations(range(size), number)), np.int64).reshape(math.comb(size, number), number)
 
 
+def bitmap(own: np.ndarray) -> bytes:
+    """A bit for the low part of each hash, in twice as many bits as the set has members, or up to four times."""
+    places = 64
+    while places < 2 * len(own):
+        places *= 2
+    bits = np.zeros(places, np.uint8)
+    bits[(own & np.uint64(places - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def possible(x: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets with bitmaps ``others`` may be linked with that of ``x``; all bitmaps have one length.
+
+    A bit that only one of two sets has stands for a member that only it has: so no linked set is ever excluded.
+    """
+    alone = np.bitwise_count(x & ~others).sum(axis=1, dtype=np.int64)
+    other = np.bitwise_count(~x & others).sum(axis=1, dtype=np.int64)
+    both = np.minimum(size - alone, sizes - other)
+    return 100 * both >= percent * (size + sizes - both)
+
+
+def folded(bits: np.ndarray, length: int) -> np.ndarray:
+    """Bitmaps (the last axis) of the same sets in fewer bits."""
+    while bits.shape[-1] > length:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
+def _possible_pairs(percent: int):
+    def run(batches):
+        for batch in batches:
+            good = []
+            for x, n, y, m in zip(*(batch.column(c).to_pylist() for c in ("bits", "size", "bits_b", "size_b"))):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                length = min(len(x), len(y))
+                good.append(bool(possible(folded(x, length), n, folded(y, length)[None], np.array([m]), percent)[0]))
+            pairs = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
+            yield pairs.filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def _possible_members(percent: int):
+    def run(members: pa.Table) -> pa.Table:
+        """The members of a cluster, by the components of what its bitmaps don't exclude; those alone are left out."""
+        rows = {n: (z, b) for n, z, b in zip(*(members.column(c).to_pylist() for c in ("node", "size", "bits")))}
+        nodes = sorted(rows, key=lambda n: (rows[n][0], n))
+        sizes = np.array([rows[n][0] for n in nodes], np.int64)
+        lengths = np.array([len(rows[n][1]) for n in nodes])
+        m = len(nodes)
+        near = np.eye(m, dtype=bool)
+        by_length = {int(w): np.stack([np.frombuffer(rows[nodes[i]][1], np.uint8) for i in np.flatnonzero(lengths == w)]) for w in np.unique(lengths)}
+        first = {w: int(np.searchsorted(lengths, w)) for w in by_length}  # sizes and lengths are in one order
+        for w, own in by_length.items():
+            for v, others in by_length.items():
+                if v < w:
+                    continue
+                others = folded(others, w)
+                for i in range(len(own)):
+                    a = first[w] + i
+                    low, high = max(a + 1, first[v]), int(np.searchsorted(sizes, sizes[a] * 100 // percent, "right"))
+                    high = min(high, first[v] + len(others))
+                    if low < high:
+                        near[a, low:high] = possible(own[i], sizes[a], others[low - first[v] : high - first[v]], sizes[low:high], percent)
+        near |= near.T
+        component = reached(near)
+        several = np.bincount(component, minlength=m)[component] > 1
+        key = members.column("cluster")[0].as_py() * 31 + (members.column("part")[0].as_py() or 0)
+        key = (key + (1 << 63)) % (1 << 64) - (1 << 63)
+        picked = np.flatnonzero(several).tolist()
+        return pa.table(
+            {
+                "cluster": pa.array([nodes[component[i]] for i in picked], pa.int64()),
+                "part": pa.array([key] * len(picked), pa.int64()),
+                "node": pa.array([nodes[i] for i in picked], pa.int64()),
+            }
+        )
+
+    return run
+
+
+def reached(linked: np.ndarray) -> np.ndarray:
+    """For each place the first one that a symmetric matrix of links leads to, itself included."""
+    m = len(linked)
+    rows = max(1, 1_000_000 // m)
+    first = np.arange(m)
+    while True:
+        new = np.concatenate([np.where(linked[i : i + rows], first[None, :], m).min(axis=1) for i in range(0, m, rows)])
+        if (new == first).all():
+            return first
+        first = new
+
+
 @dataclass(frozen=True)
 class Order:
     """A total order of n-grams from rare to frequent, and the boundary. Of a fixed size, whatever the data."""
@@ -109,14 +203,15 @@ def _summary(n: int):
                 own = shingles(text, n)
                 np.add.at(counts, (own % np.uint64(COUNTERS)).astype(np.int64), 1)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64)
-                out.append((doc_id, len(own), int(digest[0]), int(digest[1])))
-            doc, size, a, b = zip(*out)
+                out.append((doc_id, len(own), int(digest[0]), int(digest[1]), bitmap(own)))
+            doc, size, a, b, bits = zip(*out)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(doc, pa.int64()),
                     "size": pa.array(size, pa.int64()),
                     "set_a": pa.array(a, pa.int64()),
                     "set_b": pa.array(b, pa.int64()),
+                    "bits": pa.array(bits, pa.binary()),
                     "slice": pa.array([None] * len(out), pa.int32()),
                     "counts": pa.array([None] * len(out), pa.binary()),
                 }
@@ -125,7 +220,7 @@ def _summary(n: int):
         parts = [c.astype("<u4").tobytes() for c in np.split(counts, _SLICES)]
         yield pa.RecordBatch.from_pydict(
             {
-                "doc_id": none, "size": none, "set_a": none, "set_b": none,
+                "doc_id": none, "size": none, "set_a": none, "set_b": none, "bits": none.cast(pa.string()).cast(pa.binary()),
                 "slice": pa.array(range(_SLICES), pa.int32()), "counts": pa.array(parts, pa.binary()),
             }
         )
@@ -375,12 +470,7 @@ def linked_members(sets: list[np.ndarray], percent: int) -> np.ndarray:
         linked[i : i + rows] = 100 * both[i : i + rows].astype(np.int64) >= percent * union
     del both
     np.fill_diagonal(linked, True)
-    first = np.arange(m)
-    while True:
-        new = np.concatenate([np.where(linked[i : i + rows], first[None, :], m).min(axis=1) for i in range(0, m, rows)])
-        if (new == first).all():
-            return first
-        first = new
+    return reached(linked)
 
 
 def _link(percent: int):
@@ -425,7 +515,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     summary = stored(
-        rows.mapInArrow(_summary(n), "doc_id long, size long, set_a long, set_b long, slice int, counts binary"), "sets"
+        rows.mapInArrow(_summary(n), "doc_id long, size long, set_a long, set_b long, bits binary, slice int, counts binary"), "sets"
     )
     slices = summary.filter("slice IS NOT NULL").select("slice", "counts").repartition("slice")
     slices = slices.mapInArrow(_add_slices, "slice int, counts binary").collect()  # the counters: of a fixed size
@@ -451,7 +541,10 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     lists = stored(_in_lists(rows.mapInArrow(_postings(shared, n), _POSTING), percent), "lists")
     leaders = _in_lists(lists.filter("divided").mapInArrow(_leaders(percent), _POSTING), percent)
     stars = lists.select("sizes", "docs").union(leaders.select("sizes", "docs"))
-    pairs = stored(mapped(stars.mapInArrow(_stars(percent), "a long, b long").distinct()), "pairs")
+    pairs = mapped(stars.mapInArrow(_stars(percent), "a long, b long").distinct())
+    bits = summary.filter("doc_id IS NOT NULL").select("doc_id", "size", "bits")
+    pairs = pairs.join(bits.toDF("a", "size", "bits"), "a").join(bits.toDF("b", "size_b", "bits_b"), "b")
+    pairs = stored(pairs.mapInArrow(_possible_pairs(percent), "a long, b long").distinct(), "pairs")
     # A leader with its members, in clusters of bounded size.
     often = pairs.groupBy("b").agg((F.floor(F.count("*") / F.lit(TOGETHER)) + 1).alias("parts"))
     dealt = pairs.join(often, "b").withColumn("part", F.pmod(F.xxhash64("a"), "parts"))
@@ -489,6 +582,8 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     members = small.select(F.col("component").alias("cluster"), F.lit(None).cast("long").alias("part"), "node").union(
         apart.select(F.xxhash64("nodes"), F.hash("nodes").cast("long"), F.explode("nodes"))
     )
+    members = members.join(bits.withColumnRenamed("doc_id", "node"), "node").groupBy("cluster", "part")
+    members = members.applyInArrow(_possible_members(percent), "cluster long, part long, node long")
     members = stored(members, "members")
     if not members.isEmpty():
         more = _links(rows, members, n, percent)

@@ -20,7 +20,7 @@ from .common import chunks, stored
 
 LENGTH = 2048
 OPEN_BINS = 256
-CACHED_WORDS = 250_000
+CACHED_WORDS = 120_000
 #: Sequence numbers of a task start at its number times this.
 PER_TASK = 1 << 33
 #: Tasks whose unfilled bins are packed again together.

@@ -153,3 +153,20 @@ def test_overlapping_pieces_apart(docs, monkeypatch):
     monkeypatch.setattr(ngram_join, "MEET_ROWS", 5)
     rows = made(6, 80)
     assert ours(docs(rows).repartition(4)) == brute(rows)
+
+
+def test_bitmaps_exclude_no_linked_set():
+    rng = np.random.default_rng(2)
+    excluded = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 400))
+        x = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        y = np.unique(np.where(rng.random(len(x)) < rng.choice([0.0, 0.05, 0.1, 0.5]), rng.integers(0, 1 << 62, len(x)).astype(np.uint64), x))
+        y = np.concatenate([y, rng.integers(0, 1 << 62, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)])
+        a, b = (np.frombuffer(ngram_join.bitmap(s), np.uint8) for s in (x, y))
+        w = min(len(a), len(b))
+        maybe = ngram_join.possible(ngram_join.folded(a, w), len(x), ngram_join.folded(b, w)[None], np.array([len(y)]), 85)[0]
+        both = len(np.intersect1d(x, y))
+        assert maybe or 100 * both < 85 * (len(x) + len(y) - both)
+        excluded += not maybe
+    assert excluded > 50
