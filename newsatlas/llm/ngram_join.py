@@ -573,18 +573,24 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     together = pieces.join(others, "key").filter("piece <= other")
     together = together.select(F.sort_array(F.array_union("nodes", "more")).alias("nodes")).filter(F.size("nodes") > 2)
     together = stored(together.distinct(), "together")
-    # Pieces that overlap are compared as one while they are few enough, so that a set is sent once; beyond that each for itself.
-    meeting = components(together.select(F.explode("nodes").alias("a"), F.col("nodes")[0].alias("b")))
-    sizes = meeting.groupBy("component").agg(F.count("*").alias("n"))
-    small = meeting.join(sizes.filter(F.col("n") <= MEET_ROWS), "component")
-    large = meeting.join(sizes.filter(F.col("n") > MEET_ROWS), "component").select(F.col("node").alias("first"))
-    apart = together.withColumn("first", F.col("nodes")[0]).join(large, "first", "left_semi")
-    members = small.select(F.col("component").alias("cluster"), F.lit(None).cast("long").alias("part"), "node").union(
-        apart.select(F.xxhash64("nodes"), F.hash("nodes").cast("long"), F.explode("nodes"))
+    possible_ = together.select(
+        F.xxhash64("nodes").alias("cluster"), F.hash("nodes").cast("long").alias("part"), F.explode("nodes").alias("node")
     )
-    members = members.join(bits.withColumnRenamed("doc_id", "node"), "node").groupBy("cluster", "part")
-    members = members.applyInArrow(_possible_members(percent), "cluster long, part long, node long")
-    members = stored(members, "members")
+    possible_ = possible_.join(bits.withColumnRenamed("doc_id", "node"), "node").groupBy("cluster", "part")
+    possible_ = possible_.applyInArrow(_possible_members(percent), "cluster long, part long, node long")
+    possible_ = stored(possible_, "possible")
+    # What is left of pieces that overlap is compared as one while it is small enough, so that a set is sent once; beyond
+    # that each piece for itself. Where all are in one component already, there is nothing to find.
+    meeting = components(possible_.select(F.col("node").alias("a"), F.col("cluster").alias("b")))
+    now = joined.withColumnRenamed("component", "joined")
+    meeting = meeting.join(now, "node", "left").withColumn("joined", F.coalesce("joined", "node"))
+    sizes = meeting.groupBy("component").agg(F.count("*").alias("n"), F.min("joined").alias("least"), F.max("joined").alias("most"))
+    meeting = meeting.join(sizes.filter("least != most"), "component").select("component", "node", "n")
+    large = meeting.filter(F.col("n") > MEET_ROWS).select("node")
+    members = meeting.filter(F.col("n") <= MEET_ROWS).select(
+        F.col("component").alias("cluster"), F.lit(None).cast("long").alias("part"), "node"
+    )
+    members = stored(members.union(possible_.join(large, "node", "left_semi").select("cluster", "part", "node")), "members")
     if not members.isEmpty():
         more = _links(rows, members, n, percent)
         joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
