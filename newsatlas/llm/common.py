@@ -31,8 +31,6 @@ def ship(spark: SparkSession) -> None:
             for file in sorted((root / "newsatlas").rglob("*.py")):
                 out.write(file, file.relative_to(root))
         context.addPyFile(str(archive))
-        # Rows hold whole texts: with the usual 10,000 of them in a batch, batches take most of a worker's memory.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         _SHIPPED.add(context.applicationId)
 
 
