@@ -94,9 +94,10 @@ def source_diversity(feed: Feed) -> DataFrame:
 def positive_events_by_country(feed: Feed, top: int = 10) -> DataFrame:
     """Most covered cooperative events of each country; all text.
 
-    The wide event rows are shuffled once. Beforehand every task keeps the ``top`` best rows of each
-    event id, which all get the same mention counts, so that no more can be shown; a repeated id
-    or copied row stays small. The mention counts come to them over narrow rows.
+    The best events of each country are found on narrow rows, one per country and event, by their counts and best row:
+    ``top`` of them rule out every row of any other event. Only then are the wide rows looked up. The keys of regular
+    country codes travel to them, since these number at most 26 * 26 * ``top``; rows of other codes are joined as Spark
+    sees fit. Each task keeps the ``top`` best rows of an event id, so that a repeated id or copied row stays small.
     """
     positive = feed.events.filter(
         F.col(COUNTRY).isNotNull()
@@ -104,24 +105,33 @@ def positive_events_by_country(feed: Feed, top: int = 10) -> DataFrame:
         & (F.col("GoldsteinScale") > 0)
         & is_cooperation()
     ).withColumns({"pais": F.col(COUNTRY), "day": event_day()})
-    within_event = [
-        F.desc("NumMentions"), F.desc("GoldsteinScale"),
-        F.desc("day"), F.col("EventCode"), F.col("SOURCEURL"),
-    ]
-    best = top_n_per_group(positive, ["pais", EVENT], within_event, top, "place")
     covered = (
-        positive.select("pais", EVENT)
-        .distinct()
+        positive.groupBy("pais", EVENT)
+        .agg(F.max(F.struct("NumMentions", "GoldsteinScale")).alias("best"))
         .join(coverage_per_event(feed.mentions), EVENT, "left")
         .select(
             "pais",
             EVENT,
+            "best",
             F.coalesce("mentions", F.lit(0)).alias("mentions"),
             F.coalesce("sources", F.lit(0)).alias("sources"),
             F.coalesce(F.round("tone", 2), F.lit(0.0)).alias("doc_tone"),
         )
     )
-    joined = best.join(covered, ["pais", EVENT])
+    key_order = [
+        F.desc("mentions"), F.desc("sources"),
+        F.desc("best.NumMentions"), F.desc("best.GoldsteinScale"), F.col(EVENT),
+    ]
+    keys = top_n_per_group(covered, ["pais"], key_order, top, "key_place").drop("key_place", "best")
+    regular = F.col("pais").rlike("^[A-Z]{2}$")
+    chosen = keys.filter(regular).select("pais", EVENT, F.lit(True).alias("chosen"))
+    looked_up = positive.join(F.broadcast(chosen), ["pais", EVENT], "left").filter(~regular | F.col("chosen"))
+    within_event = [
+        F.desc("NumMentions"), F.desc("GoldsteinScale"),
+        F.desc("day"), F.col("EventCode"), F.col("SOURCEURL"),
+    ]
+    best = top_n_per_group(looked_up, ["pais", EVENT], within_event, top, "place")
+    joined = best.join(keys, ["pais", EVENT])
     order = [
         F.desc("mentions"), F.desc("sources"), F.desc("NumMentions"), F.desc("GoldsteinScale"),
         F.col(EVENT), F.desc("day"), F.col("EventCode"), F.col("SOURCEURL"),

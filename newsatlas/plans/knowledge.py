@@ -1,10 +1,11 @@
 """What the documents are about: themes, places and organisations."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsatlas.feed import Feed
 from newsatlas.functions import (
     day_text,
+    delimited,
     feed_date,
     feed_year,
     field,
@@ -18,58 +19,60 @@ from newsatlas.operators import explode_delimited, top_n_per_group
 RECORD = "GKGRECORDID"
 
 
-def _record_regions(gkg: DataFrame) -> DataFrame:
-    """Distinct (record, year, region) of the places a record names.
+def _items(gkg: DataFrame) -> DataFrame:
+    """Distinct (record, place?, year, value) of the regions and themes a record names, from one scan.
 
     The second location format has one field more before the coordinates. The first one counts only
-    where the second is missing or blank; a blank item stands for a place without a region.
+    where the second is missing or blank; a blank item stands for a place without a region. A blank list of
+    themes of the second format still hides the first one. Only regions have a year.
     """
     has_v2 = F.coalesce(F.col("V2Locations") != "", F.lit(False))
-    text = F.when(has_v2, F.col("V2Locations")).when(F.col("Locations") != "", F.col("Locations"))
-    places = explode_delimited(
-        gkg, text, "place", [RECORD, feed_year(F.col("DATE")).alias("anio"), has_v2.alias("v2")]
-    )
+    locations = F.when(has_v2, F.col("V2Locations")).when(F.col("Locations") != "", F.col("Locations"))
+    tagged = [
+        F.coalesce(
+            F.transform(delimited(text), lambda item: F.struct(F.lit(place).alias("place"), item.alias("item"))),
+            F.expr("array()").cast("array<struct<place:boolean,item:string>>"),
+        )
+        for place, text in ((True, locations), (False, F.coalesce("V2Themes", "Themes")))
+    ]
+    items = gkg.select(
+        RECORD, feed_year(F.col("DATE")).alias("anio"), has_v2.alias("v2"), F.explode(F.concat(*tagged)).alias("t")
+    ).select(RECORD, "anio", "v2", "t.place", "t.item")
 
     def coordinate(position: int) -> Column:
-        place = F.col("place")
-        return number_text(
-            F.when(F.col("v2"), field(place, position + 1)).otherwise(field(place, position))
-        )
+        item = F.col("item")
+        return number_text(F.when(F.col("v2"), field(item, position + 1)).otherwise(field(item, position)))
 
-    located = places.select(
+    located = items.filter(F.col("place") | not_blank(F.col("item"))).select(
         RECORD,
-        "anio",
-        field(F.col("place"), 3).alias("country"),
+        "place",
+        F.when(F.col("place"), F.col("anio")).alias("anio"),
+        leading_item(F.col("item")).alias("tema"),
+        field(F.col("item"), 3).alias("country"),
         coordinate(5).alias("lat"),
         coordinate(6).alias("lon"),
     )
-    region = region_of("country", "lat", "lon")
-    return located.select(RECORD, "anio", region.alias("continente")).distinct()
-
-
-def _record_themes(gkg: DataFrame) -> DataFrame:
-    """Distinct (record, theme). A blank list of the second format still hides the first one."""
-    themes = explode_delimited(gkg, F.coalesce("V2Themes", "Themes"), "item", [RECORD])
-    return (
-        themes.filter(not_blank(F.col("item")))
-        .select(RECORD, leading_item(F.col("item")).alias("tema"))
-        .filter(F.col("tema") != "")
-        .distinct()
-    )
+    value = F.when(F.col("place"), region_of("country", "lat", "lon")).otherwise(F.col("tema"))
+    named = located.filter(F.col("place") | (F.col("tema") != ""))
+    return named.select(RECORD, "place", "anio", value.alias("value")).distinct()
 
 
 def themes_by_region_year(feed: Feed, top: int = 20) -> DataFrame:
     """Leading themes per region and year, by number of documents.
 
     Places and themes are made distinct per record before they meet, so copies of a record cost
-    nothing, and each (record, region, theme) comes out of the join once: a plain count, merged in
-    every task before its shuffle, replaces a distinct count over all combinations.
+    nothing, and each (record, region, theme) comes out once: a plain count, merged in
+    every task before its shuffle, replaces a distinct count over all combinations. Records are read once; of a record only
+    its few (year, region) pairs are held while its themes pass by.
     """
-    documents = feed.gkg.filter(F.col(RECORD).isNotNull())
+    items = _items(feed.gkg.filter(F.col(RECORD).isNotNull()))
+    pair = F.when(F.col("place"), F.struct("anio", F.col("value").alias("continente")))
+    pairs = F.collect_list(pair).over(Window.partitionBy(RECORD))
     counts = (
-        _record_regions(documents)
-        .join(_record_themes(documents), RECORD)
-        .groupBy("continente", "anio", "tema")
+        items.withColumn("pairs", pairs)
+        .filter(~F.col("place"))
+        .select(F.explode("pairs").alias("pair"), F.col("value").alias("tema"))
+        .groupBy("pair.continente", "pair.anio", "tema")
         .agg(F.count("*").alias("total_documentos"))
     )
     order = [F.desc("total_documentos"), F.col("tema")]
