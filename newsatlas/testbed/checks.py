@@ -6,13 +6,13 @@ whole derived tables, so that each is checked for itself.
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsatlas import functions as fn
 from newsatlas import operators as op
-from newsatlas import sources, streaming
+from newsatlas import schemas, sources, streaming
 from newsatlas.feed import Feed
 from newsatlas.plans import ANALYSES, Analysis, find
 from newsatlas.plans.common import COUNTRY, EVENT
@@ -498,6 +498,70 @@ def partition_days(feed: Feed) -> DataFrame:
     return dated.groupBy(fn.day_text(F.col("event_date")).alias("day")).agg(F.count("*").alias("n"))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new place that all executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
+
+
+def _land(rows: DataFrame, day: str, path: str) -> None:
+    """Write rows as JSON arrays, two files for each day."""
+    share = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
+    arrays = rows.groupBy(F.expr(f"substr(cast({day} AS string), 1, 8)"), share).agg(F.to_json(F.collect_list(F.struct(*rows.columns))))
+    arrays.select(F.col(arrays.columns[-1]).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+@_on_feed(_gkg("SELECT * FROM news_gkg"))
+def json_slices(feed: Feed) -> DataFrame:
+    spark = feed.gkg.sparkSession
+    path = _folder(spark, "slices")
+    _land(feed.gkg, "DATE", path)
+    return sources.read_json(spark, path, "gkg")
+
+
+@_on_feed(oracle.SQL["sentiment_trend"])
+def json_result(feed: Feed) -> DataFrame:
+    trend = _result(feed, "sentiment_trend")
+    path = _folder(trend.sparkSession, "result")
+    sources.write_json(trend, path)
+    return trend.sparkSession.read.schema(trend.schema).json(path)
+
+
+@_on_feed(_mentions("SELECT * FROM news_mentions UNION ALL SELECT * FROM news_mentions"))
+def table_backfill_then_ingest(feed: Feed) -> DataFrame:
+    """Every mention twice in one table: by a batch, and by the slices of a stream."""
+    spark = feed.mentions.sparkSession
+    root = _folder(spark, "tables")
+    sources.write_table(feed.mentions, root, "mentions")
+    _land(feed.mentions, "MentionTimeDate", f"{root}/landing/mentions")
+    streaming.ingest(spark, f"{root}/landing", root, "mentions", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(schemas.MENTIONS).parquet(f"{root}/mentions").select(schemas.MENTIONS.names)
+
+
+@_on_feed(_events("""SELECT ActionGeo_CountryCode AS pais, count(*) AS n FROM news_events
+    WHERE SQLDATE BETWEEN 20240105 AND 20240110 GROUP BY pais"""))
+def table_days_between(feed: Feed) -> DataFrame:
+    spark = feed.events.sparkSession
+    root = _folder(spark, "tables")
+    for name in schemas.TABLES:
+        sources.write_table(getattr(feed, name), root, name)
+    days = Feed.from_parquet(spark, root).between(date(2024, 1, 5), date(2024, 1, 10))
+    return days.events.groupBy(F.col(COUNTRY).alias("pais")).agg(F.count("*").alias("n"))
+
+
+@_on_feed(f"""SELECT pais, cast(2 * count(*) AS bigint) AS n FROM ({oracle.SQL["sentiment_trend"]})
+    GROUP BY pais""")
+def history_expired(feed: Feed) -> DataFrame:
+    """Three stored cycles, of which the oldest is removed."""
+    trend = _result(feed, "sentiment_trend")
+    spark = trend.sparkSession
+    root = _folder(spark, "history")
+    for hours in (0, 1, 7):
+        sources.append_results(trend, root, "trend", _NOW - timedelta(hours=hours))
+    sources.expire_results(spark, root, _NOW)
+    return sources.read_results(spark, root, "trend").groupBy("pais").agg(F.count("*").alias("n"))
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 
@@ -513,8 +577,7 @@ def _on_stream(sql: str):
                 arriving = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
             else:
                 arriving = reader.parquet(path)
-            shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-            run = f"{shared}/{build.__name__}-{uuid.uuid4().hex}"
+            run = _folder(spark, build.__name__)
             build(arriving).writeStream.option("checkpointLocation", f"{run}/checkpoint").trigger(
                 availableNow=True
             ).start(f"{run}/rows", format="parquet", outputMode="append").awaitTermination()

@@ -205,52 +205,38 @@ _RUNNING = "(" * 6 + " + ".join(
     [f"coalesce({_LAGS[0]}, 0)"] + [f"coalesce({lag}, 0))" for lag in _LAGS[1:]] + ["tono_promedio_dia)"]
 )
 
-FIRST_HOUR = """timed AS (
-    SELECT GLOBALEVENTID, MentionSourceName,
-           try_strptime(substr(lpad(cast(MentionTimeDate AS varchar), 14, '0'), 1, 14), '%Y%m%d%H%M%S') AS ts
-    FROM news_mentions WHERE GLOBALEVENTID IS NOT NULL AND MentionTimeDate IS NOT NULL
+FIRST_HOUR = """valid AS (
+    SELECT *, min(ts) OVER (PARTITION BY GLOBALEVENTID) AS first FROM (
+        SELECT GLOBALEVENTID, MentionSourceName,
+               try_strptime(substr(lpad(cast(MentionTimeDate AS varchar), 14, '0'), 1, 14), '%Y%m%d%H%M%S') AS ts
+        FROM news_mentions WHERE GLOBALEVENTID IS NOT NULL)
+    WHERE ts IS NOT NULL
 ),
-valid AS (SELECT * FROM timed WHERE ts IS NOT NULL),
-firsts AS (SELECT GLOBALEVENTID, min(ts) AS first FROM valid GROUP BY GLOBALEVENTID),
 first_hour AS (
-    SELECT v.GLOBALEVENTID, f.first, count(*) AS n,
-           count(DISTINCT coalesce(MentionSourceName, 'SIN_FUENTE')) AS s
-    FROM valid v JOIN firsts f ON v.GLOBALEVENTID = f.GLOBALEVENTID
-    WHERE v.ts < f.first + INTERVAL 1 HOUR
-    GROUP BY v.GLOBALEVENTID, f.first
+    SELECT GLOBALEVENTID, first, count(*) AS n, count(DISTINCT coalesce(MentionSourceName, 'SIN_FUENTE')) AS s
+    FROM valid WHERE ts - first < INTERVAL 1 HOUR GROUP BY GLOBALEVENTID, first
 )"""
 
 
-def _loc(list_column: str, lat: int) -> str:
-    def number(position: int) -> str:
-        text = f"trim(split(loc, '#')[{position}])"
-        return (
-            f"CASE WHEN regexp_full_match({text}, '-?[0-9]+(\\.[0-9]+)?') "
-            f"THEN try_cast({text} AS double) END"
-        )
+def _number(position: str) -> str:
+    text = f"trim(split(place, '#')[{position}])"
+    return f"CASE WHEN regexp_full_match({text}, '-?[0-9]+(\\.[0-9]+)?') THEN try_cast({text} AS double) END"
 
-    return (
-        f"SELECT GKGRECORDID, try_cast(substr(cast(\"DATE\" AS varchar), 1, 4) AS int) AS anio, "
-        f"split(loc, '#')[3] AS pais, {number(lat)} AS lat, {number(lat + 1)} AS lon "
-        f"FROM (SELECT *, unnest(split({list_column}, ';')) AS loc FROM news_gkg"
-    )
 
-
-THEMES = f"""locs AS (
-    {_loc("V2Locations", 6)} WHERE V2Locations <> '')
-    UNION ALL
-    {_loc("Locations", 5)} WHERE (V2Locations IS NULL OR V2Locations = '') AND Locations <> '')
+# Each record's places and themes are unnested from its one row.
+THEMES = f"""placed AS (
+    SELECT GKGRECORDID, try_cast(substr(cast("DATE" AS varchar), 1, 4) AS int) AS anio, coalesce(V2Themes, Themes) AS listed,
+           unnest(split(if(V2Locations <> '', V2Locations, Locations), ';')) AS place, if(V2Locations <> '', 6, 5) AS lat_at
+    FROM news_gkg WHERE V2Locations <> '' OR Locations <> ''
 ),
-temas AS (
-    SELECT GKGRECORDID, regexp_extract(trim(t), '^([^,]+)', 1) AS tema
-    FROM (SELECT GKGRECORDID, unnest(split(coalesce(V2Themes, Themes), ';')) AS t FROM news_gkg)
-    WHERE trim(t) <> ''
+tagged AS (
+    SELECT GKGRECORDID, anio, split(place, '#')[3] AS pais, {_number("lat_at")} AS lat, {_number("lat_at + 1")} AS lon,
+           regexp_extract(trim(unnest(split(listed, ';'))), '^([^,]+)', 1) AS tema
+    FROM placed
 ),
 counts AS (
-    SELECT {_region("pais", "lat", "lon")} AS continente, anio, tema,
-           count(DISTINCT locs.GKGRECORDID) AS total_documentos
-    FROM locs JOIN temas ON locs.GKGRECORDID = temas.GKGRECORDID
-    WHERE tema <> '' GROUP BY ALL
+    SELECT {_region("pais", "lat", "lon")} AS continente, anio, tema, count(DISTINCT GKGRECORDID) AS total_documentos
+    FROM tagged WHERE tema <> '' GROUP BY ALL
 )"""
 
 ORGANISATIONS = """counts AS (
@@ -312,15 +298,17 @@ SQL = {
         FROM pairs WHERE QuadClass IN (3, 4) GROUP BY pais_a, pais_b
         ORDER BY total_conflictos DESC, pais_a, pais_b LIMIT 50""",
     "mention_escalation_24h": f"""{_with(EVENTS, MENTIONS, NEWEST)}, hourly AS (
-        SELECT GLOBALEVENTID, hora, epoch(hora) AS seconds, count(*) AS menciones_hora FROM (
+        SELECT GLOBALEVENTID, hora, count(*) AS menciones_hora FROM (
             SELECT GLOBALEVENTID, date_trunc('hour', try_strptime(
                 lpad(cast(MentionTimeDate AS varchar), 14, '0'), '%Y%m%d%H%M%S')) AS hora
             FROM news_mentions WHERE GLOBALEVENTID IS NOT NULL AND MentionTimeDate IS NOT NULL)
         WHERE hora IS NOT NULL GROUP BY ALL),
-        rolling AS (SELECT *, cast(sum(menciones_hora) OVER (PARTITION BY GLOBALEVENTID ORDER BY seconds
-            RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS bigint) AS menciones_ultimas_24h FROM hourly),
+        rolling AS (SELECT h.GLOBALEVENTID, h.hora, h.menciones_hora,
+                cast(sum(p.menciones_hora) AS bigint) AS menciones_ultimas_24h
+            FROM hourly h JOIN hourly p ON p.GLOBALEVENTID = h.GLOBALEVENTID
+                AND p.hora BETWEEN h.hora - INTERVAL 24 HOUR AND h.hora GROUP BY ALL),
         speeds AS (SELECT *, coalesce(lag(menciones_ultimas_24h) OVER (
-            PARTITION BY GLOBALEVENTID ORDER BY seconds), 0) AS menciones_24h_previas FROM rolling)
+            PARTITION BY GLOBALEVENTID ORDER BY hora), 0) AS menciones_24h_previas FROM rolling)
         SELECT s.GLOBALEVENTID, {DAY_TEXT} AS fecha_evento, ActionGeo_CountryCode AS pais, EventCode,
                CAMEOCodeDescription, strftime(hora, '%Y-%m-%d %H:%M:%S') AS hora, menciones_hora,
                menciones_ultimas_24h, menciones_24h_previas,
@@ -358,14 +346,15 @@ SQL = {
         {_r(f"count(*) FILTER (QuadClass IN (3, 4)) / {N}", 4)} AS proporcion_conflicto
         FROM pairs GROUP BY pais_a, pais_b HAVING {N} > 0
         ORDER BY total_interacciones DESC, pais_a, pais_b LIMIT 100""",
-    "source_diversity": f"""{_with(EVENTS, MENTIONS)}, per_source AS (
-        SELECT ActionGeo_CountryCode AS pais, MentionSourceName AS fuente, count(*) AS n
-        FROM news_events e JOIN news_mentions m ON e.GLOBALEVENTID = m.GLOBALEVENTID
-        WHERE ActionGeo_CountryCode IS NOT NULL AND trim(MentionSourceName) <> '' GROUP BY ALL),
-        totals AS (SELECT pais, sum(n) AS total, count(DISTINCT fuente) AS medios FROM per_source GROUP BY pais)
-        SELECT p.pais, medios AS medios_distintos, cast(total AS bigint) AS total_menciones,
-               {_r("-sum((n / total) * ln(n / total))", 4)} AS indice_shannon_fuentes
-        FROM per_source p JOIN totals t ON p.pais = t.pais GROUP BY p.pais, medios, total""",
+    "source_diversity": f"""{_with(EVENTS, MENTIONS)}, heard AS (
+        SELECT DISTINCT pais, medio, count(*) OVER (PARTITION BY pais) AS total,
+               count(*) OVER (PARTITION BY pais, medio) / count(*) OVER (PARTITION BY pais) AS share
+        FROM (SELECT ActionGeo_CountryCode AS pais, MentionSourceName AS medio
+              FROM news_events JOIN news_mentions USING (GLOBALEVENTID)
+              WHERE ActionGeo_CountryCode IS NOT NULL AND trim(MentionSourceName) <> ''))
+        SELECT pais, count(*) AS medios_distintos, max(total) AS total_menciones,
+               {_r("-sum(share * ln(share))", 4)} AS indice_shannon_fuentes
+        FROM heard GROUP BY pais""",
     "ethnic_conflicts": f"""{_with(EVENTS)}, actors AS (
         SELECT Actor1EthnicCode AS etnia, * FROM news_events UNION ALL
         SELECT Actor2EthnicCode AS etnia, * FROM news_events)

@@ -28,6 +28,20 @@ def test_every_region_code(spark):
     assert regions(spark, [(c, 0.0, 0.0) for c, _ in pairs]) == [name for _, name in pairs]
 
 
+def test_regions_by_their_codes_literally(spark):
+    pairs = [("US", "Norteamérica"), ("GL", "Norteamérica"), ("MX", "Latinoamérica y Caribe"), ("PR", "Latinoamérica y Caribe"),
+             ("BR", "Sudamérica"), ("CHL", "Sudamérica"), ("UK", "Europa"), ("ES2", "Europa"), ("CH", "Asia"), ("AF", "Asia"),
+             ("EG", "África"), ("NI", "África"), ("TZ", "África"), ("AS", "Oceanía"), ("FJ", "Oceanía"), ("QQ", "Sin región")]
+    assert regions(spark, [(c, None, None) for c, _ in pairs]) == [name for _, name in pairs]
+
+
+def test_categories_by_their_codes_literally(spark, rows):
+    pairs = [("COP", "Gobierno"), ("GOV", "Gobierno"), ("INS", "Grupo rebelde"), ("JUD", "Gobierno"), ("LEG", "Gobierno"),
+             ("MIL", "Militar"), ("REB", "Grupo rebelde"), ("SEP", "Grupo rebelde"), ("SPY", "Gobierno"), ("XXX", None)]
+    df = spark.createDataFrame([(c,) for c, _ in pairs], "a string")
+    assert sorted(rows(df.select("a", fn.actor_category("a")))) == pairs
+
+
 def test_region_code_is_trimmed_and_upper_cased(spark):
     codes = [" uk ", "\tuk ", "Uk\n", "ni", "UK "]
     assert regions(spark, [(c, None, None) for c in codes]) == [
