@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .chat import format_chats, masked_texts, read_turns, text_parts
 from .common import shared_folder, table
+from .decontaminate import benchmark_hits
 from .exact_dedup import exact_groups
 from .language import identified, train
 from .mixing import mixed_sources
 from .neighbours import nearest
 from .ngram_join import jaccard_groups
 from .packing import packed
+from .periodic import periodic_runs
 from .quality import quality_scores
+from .spelling import spelling_variants, vocabulary
 from .substring import without_repeats
 from .warc import read_archives, write_archives
 
@@ -138,3 +141,77 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered()
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = f"regexp_extract_all({_ASCII_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+
+@_registered(f"""WITH texts AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+    items AS (SELECT CAST(item_id AS varchar) AS item_id, {_ITEM_WORDS} AS w FROM benchmark),
+    starts AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+    keys AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS key FROM starts),
+    sizes AS (SELECT DISTINCT size FROM keys),
+    places AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM texts, sizes WHERE len(w) >= size),
+    found AS (SELECT p.doc_id, p.i, p.size, k.item_id FROM
+        (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS key FROM places) p JOIN keys k USING (key, size)),
+    hit AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM
+        (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS word FROM found) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM
+        (SELECT DISTINCT doc_id, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM texts LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""")
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.withColumn("ids", F.array_join("items", ",")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        _sha256("ids").alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@_registered()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(vocabulary(table(spark, sf_dir, "documents"), typo_one_in=199))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents (doc_id, text); in one of ten, as the id decides, the words repeat periodically from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w != '')")
+    g, n = F.floor(h / 10), F.col("_n")
+    moved = "element_at(_words, cast(1 + if(i < _a, i, _a + (i - _a) % _p) AS int))"
+    return (
+        docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("_words"))
+        .withColumn("_n", F.size("_words").cast("long"))
+        .withColumn("_a", F.when(n > 0, g % n))
+        .withColumn("_p", F.when(n > 0, 1 + F.floor((n - F.col("_a")) / (3 + g % 8))))
+        .withColumn("_moved", F.when(n > 0, F.expr(f"array_join(transform(sequence(0, _n - 1), i -> {moved}), ' ')")))
+        .select("doc_id", F.coalesce("_moved", "text").alias("text"))
+    )
+
+
+_GREATER_POWER = """array_sort(runs, (a, b) -> CASE
+    WHEN a.length * b.period > b.length * a.period THEN -1 WHEN a.length * b.period < b.length * a.period THEN 1
+    WHEN a.start < b.start THEN -1 WHEN a.start > b.start THEN 1
+    WHEN a.period < b.period THEN -1 WHEN a.period > b.period THEN 1 ELSE 0 END)"""
+
+
+@_registered()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumns({"top": F.expr(f"get({_GREATER_POWER}, 0)"), "lines": F.array_join(line, "")}).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("(1000 * top.length) div top.period").alias("exponent_milli"),
+        _sha256("lines").alias("runs_sha256"),
+        _sha256("collapsed_text").alias("collapsed_sha256"),
+    )
