@@ -2,12 +2,19 @@
 
 from newsatlas.functions.actors import CATEGORY_CODES, actor_category
 from newsatlas.functions.aggregates import (
+    combined_moments,
     count_where,
+    distinct_sketch,
     entropy,
     mean,
+    mean_of,
+    merged_sketches,
+    moments,
     pearson,
+    pearson_of,
     percent_of,
     ratio,
+    sketch_estimate,
 )
 from newsatlas.functions.parsing import (
     day_text,

@@ -173,6 +173,20 @@ ANALYSES = (
     ),
 )
 
+#: Analyses with a mergeable state, by name: what they need of a slice.
+INCREMENTAL = {
+    "conflict_heatmap": conflict.HEATMAP,
+    "top_countries_by_day": coverage.TOP_COUNTRIES,
+    "tone_source_correlation": tone.TONE_SOURCES,
+    "sentiment_trend": tone.TREND,
+    "conflict_country_pairs": conflict.CONFLICT_PAIRS,
+    "religion_conflicts": conflict.RELIGIONS,
+    "tone_conflict_lag": tone.TONE_LAG,
+    "diplomacy_conflict_graph": conflict.GRAPH,
+    "source_diversity": coverage.DIVERSITY,
+    "ethnic_conflicts": conflict.ETHNICITIES,
+}
+
 _BY_NAME = {key: a for a in ANALYSES for key in (a.name, a.result)}
 # Stored collections that are not results.
 _HIDDEN, _HIDDEN_PREFIX = {"startup_log"}, "system."

@@ -9,27 +9,20 @@ from newsatlas.plans.common import (
     COUNTRY,
     EVENT,
     coverage_per_event,
-    distinct_events,
     event_day,
     is_cooperation,
     mentions_per_event_source,
 )
+from newsatlas.plans.partials import DISTINCT, Joined, Part, whole
 
 
-def top_countries_by_day(feed: Feed, top: int = 10) -> DataFrame:
-    """Countries with the most events, day by day."""
-    daily = (
-        feed.events.filter(F.col(COUNTRY).isNotNull() & F.col("SQLDATE").isNotNull())
-        .groupBy(event_day().alias("day"), F.col(COUNTRY).alias("pais"))
-        .agg(
-            distinct_events().alias("total_eventos"),
-            F.sum("NumMentions").alias("total_menciones"),
-            F.sum("NumArticles").alias("total_articulos"),
-        )
-        .select(
-            day_text(F.col("day")).alias("fecha"),
-            "pais", "total_eventos", "total_menciones", "total_articulos",
-        )
+def _top_countries(groups: DataFrame, top: int = 10) -> DataFrame:
+    daily = groups.select(
+        day_text(F.col("day")).alias("fecha"),
+        "pais",
+        F.col(DISTINCT).alias("total_eventos"),
+        "total_menciones",
+        "total_articulos",
     )
     order = [F.desc("total_eventos"), F.col("pais")]
     return top_n_per_group(daily, ["fecha"], order, top, "ranking").orderBy(
@@ -37,6 +30,23 @@ def top_countries_by_day(feed: Feed, top: int = 10) -> DataFrame:
     )
 
 
+TOP_COUNTRIES = Part(
+    lambda feed: feed.events.filter(F.col(COUNTRY).isNotNull() & F.col("SQLDATE").isNotNull()).withColumns(
+        {"day": event_day(), "pais": F.col(COUNTRY)}
+    ),
+    ("day", "pais"),
+    _top_countries,
+    lambda: {"total_menciones": F.sum("NumMentions"), "total_articulos": F.sum("NumArticles")},
+    counted=EVENT,
+    day="day",
+)
+
+
+def top_countries_by_day(feed: Feed, top: int = 10) -> DataFrame:
+    """Countries with the most events, day by day."""
+    return whole(TOP_COUNTRIES, feed, top=top)
+
+
 def media_coverage_by_country(feed: Feed, min_events: int = 5) -> DataFrame:
     """Mentions per event, for countries with enough events."""
     located = (
@@ -61,25 +71,24 @@ def media_coverage_by_country(feed: Feed, min_events: int = 5) -> DataFrame:
     )
 
 
-def source_diversity(feed: Feed) -> DataFrame:
-    """Shannon index of the sources that mention each country's events.
-
-    Every event row counts once per mention row, repeats included. Both sides are merged to counts
-    before they meet, and the join multiplies the counts instead of producing the repeats.
-    """
-    located = (
+def _located_copies(feed: Feed) -> DataFrame:
+    return (
         feed.events.filter(F.col(EVENT).isNotNull() & F.col(COUNTRY).isNotNull())
         .groupBy(EVENT, F.col(COUNTRY).alias("pais"))
         .agg(F.count("*").alias("copies"))
     )
-    named = mentions_per_event_source(
-        feed.mentions.filter(not_blank(F.col("MentionSourceName")))
-    ).select(EVENT, F.col("MentionSourceName").alias("fuente"), "mentions")
-    per_source = (
-        located.join(named, EVENT)
-        .groupBy("pais", "fuente")
-        .agg(F.sum(F.col("copies") * F.col("mentions")).alias("n"))
-    )
+
+
+def _named_mentions(feed: Feed) -> DataFrame:
+    named = mentions_per_event_source(feed.mentions.filter(not_blank(F.col("MentionSourceName"))))
+    return named.select(EVENT, F.col("MentionSourceName").alias("fuente"), "mentions")
+
+
+def _heard(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("pais", "fuente").agg(F.sum(F.col("copies") * F.col("mentions")).alias("n"))
+
+
+def _diversity(per_source: DataFrame) -> DataFrame:
     return (
         per_source.groupBy("pais")
         .agg(
@@ -91,6 +100,18 @@ def source_diversity(feed: Feed) -> DataFrame:
     )
 
 
+DIVERSITY = Joined(_located_copies, _named_mentions, EVENT, ("pais", "fuente"), _heard, _diversity)
+
+
+def source_diversity(feed: Feed) -> DataFrame:
+    """Shannon index of the sources that mention each country's events.
+
+    Every event row counts once per mention row, repeats included. Both sides are merged to counts
+    before they meet, and the join multiplies the counts instead of producing the repeats.
+    """
+    return _diversity(_heard(_located_copies(feed).join(_named_mentions(feed), EVENT)))
+
+
 def positive_events_by_country(feed: Feed, top: int = 10) -> DataFrame:
     """Most covered cooperative events of each country; all text.
 

@@ -1,5 +1,6 @@
 """Reading the feed, landing it as tables, and keeping the results."""
 
+from newsatlas.sources.arrays import pieces, records
 from newsatlas.sources.history import (
     append_results,
     expire_results,
@@ -12,6 +13,7 @@ from newsatlas.sources.history import (
 )
 from newsatlas.sources.landing import (
     drop_empty_columns,
+    parsed,
     read_json,
     read_landing,
     typed,
@@ -19,5 +21,6 @@ from newsatlas.sources.landing import (
     write_json,
     write_table,
 )
+from newsatlas.sources.states import StateStore
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -1,11 +1,14 @@
 """JSON slices in, Parquet tables and JSON results out."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from newsatlas import schemas
 from newsatlas.functions import feed_date
 from newsatlas.feed import Feed
+from newsatlas.sources.arrays import pieces, records
 
 _WRAPPED = "$numberLong"
 # The integer column that carries the day of each table's rows; partitions follow it.
@@ -44,13 +47,18 @@ def typed(raw: DataFrame, table: str) -> DataFrame:
     return raw.select([column(f) for f in schemas.TABLES[table].fields])
 
 
+def parsed(objects: DataFrame, table: str) -> DataFrame:
+    """Rows of a table from JSON objects in column ``record``; one that cannot be parsed gives a row of NULLs."""
+    row = F.from_json("record", raw_schema(table)).alias("row")
+    return typed(objects.select(row).select("row.*"), table)
+
+
 def read_json(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read JSON array files (one per slice and table) or a directory of them.
+    """Read JSON array files (one or more per slice and table) or a directory of them.
 
-    A file with one array cannot be split, so parallelism comes from the number of slices.
+    A large array is read by as many tasks as any other text of its size; see :mod:`newsatlas.sources.arrays`.
     """
-    raw = spark.read.schema(raw_schema(table)).option("multiLine", True).json(path)
-    return typed(raw, table)
+    return parsed(records(pieces(spark, path)), table)
 
 
 def read_landing(spark: SparkSession, root: str) -> Feed:
@@ -89,38 +97,59 @@ def with_day(df: DataFrame, table: str) -> DataFrame:
     return df.withColumn("event_date", feed_date(packed))
 
 
-def write_table(df: DataFrame, root: str, table: str, replace_days: bool = False) -> None:
-    """Store a batch in the Parquet table ``root/table``, partitioned by day.
-
-    It is appended, or with ``replace_days`` takes the place of the days it holds; other days are
-    never touched. Slices arrive in time order, so that a task writes to one or two days and no
-    shuffle is needed to keep the number of files down.
-    """
-    (
-        with_day(df, table)
-        .write.mode("overwrite" if replace_days else "append")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(f"{root}/{table}")
-    )
-
-
-#: Column of the rows of a stream: the batch they came in. Readers of the declared schemas don't see it.
-BATCH = "_batch"
+def write_table(df: DataFrame, root: str, table: str, replace_days: bool = False, batch: str | None = None) -> None:
+    """Store a batch in the Parquet table ``root/table``, divided by day and, within a day, by batch.
 
+    It is added, or with ``replace_days`` takes the place of the days it holds; other days are never touched. A ``batch`` of a given
+    name is stored once: of a batch that is repeated, only the days that are not there yet.
 
-def holds_batch(spark: SparkSession, root: str, table: str, tag: str) -> bool:
-    """Whether the table has rows of a batch; one column is read, and only where its bounds admit the tag."""
-    if not exists(spark, f"{root}/{table}"):
-        return False
-    stored = spark.read.schema(f"{BATCH} string").parquet(f"{root}/{table}")
-    return not stored.filter(F.col(BATCH) == tag).isEmpty()
+    The batch is first written beside the table, and then each of its days is moved to its place by one rename, which
+    is all or nothing on HDFS and local disks. Readers, streams over the table among them, never see half a day of a batch. Slices arrive in time
+    order, so that a batch has a day or two, and a task writes few files without a shuffle.
+    """
+    name = batch or f"load-{uuid.uuid4().hex}"
+    staged = f"{root}/{_STAGED}/{table}/{name}"
+    with_day(df, table).write.mode("overwrite").partitionBy(_DAY).parquet(staged)
+    system, place = _file_system(df.sparkSession, staged)
+    for status in system.listStatus(place):
+        if status.isDirectory():
+            _publish(df.sparkSession, staged, f"{root}/{table}", status.getPath().getName(), name, replace_days)
+    system.delete(place, True)
+
+
+_DAY = "event_date"
+#: Folder of a day, within which its rows are divided by the batch they came in. Readers of the declared schemas don't see it.
+BATCH = "batch"
+_STAGED = "_staged"
+
+
+def _publish(spark: SparkSession, staged: str, table: str, day: str, batch: str, replace: bool) -> None:
+    """Move one day of a batch to its place, unless it is there."""
+    system, source = _file_system(spark, f"{staged}/{day}")
+    _, target = _file_system(spark, f"{table}/{day}/{BATCH}={batch}")
+    if replace:
+        _, old = _file_system(spark, f"{table}/{day}")
+        if system.exists(old):
+            _, aside = _file_system(spark, f"{staged}/_replaced_{day}")
+            _moved(system, old, aside)
+    if not system.exists(target):
+        system.mkdirs(target.getParent())
+        _moved(system, source, target)
+
+
+def _moved(system, source, target) -> None:
+    if not system.rename(source, target):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def exists(spark: SparkSession, path: str, file: bool = False) -> bool:
     """Whether there is a folder or file, or with ``file`` a file, on any file system that Spark reads."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system, place = _file_system(spark, path)
     return system.isFile(place) if file else system.exists(place)
 
 

@@ -4,6 +4,7 @@ Next to the nineteen analyses there is a query for every column builder and oper
 whole derived tables, so that each is checked for itself.
 """
 
+import contextlib
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
@@ -14,7 +15,7 @@ from newsatlas import functions as fn
 from newsatlas import operators as op
 from newsatlas import schemas, sources, streaming
 from newsatlas.feed import Feed
-from newsatlas.plans import ANALYSES, Analysis, find
+from newsatlas.plans import ANALYSES, INCREMENTAL, Analysis, find
 from newsatlas.plans.common import COUNTRY, EVENT
 from newsatlas.sources.landing import exists, with_day
 from newsatlas.testbed import oracle
@@ -504,21 +505,60 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
-def _land(rows: DataFrame, day: str, path: str) -> None:
-    """Write rows as JSON arrays, two files for each day."""
-    share = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
-    arrays = rows.groupBy(F.expr(f"substr(cast({day} AS string), 1, 8)"), share).agg(F.to_json(F.collect_list(F.struct(*rows.columns))))
-    arrays.select(F.col(arrays.columns[-1]).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+def _as_array(batches):
+    """The objects of one task as the lines of one JSON array."""
+    import pyarrow as pa
+
+    empty = True
+    for batch in batches:
+        lines = [("[" if empty and i == 0 else ",") + text for i, text in enumerate(batch.column(0).to_pylist())]
+        empty = empty and not lines
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if empty else "]"], pa.string())], ["value"])
+
+
+def _land(rows: DataFrame, path: str, files: int = 8) -> None:
+    """Write rows as JSON arrays, each by one task, row by row."""
+    objects = rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).repartition(files)
+    objects.mapInArrow(_as_array, "value string").write.text(path)
 
 
 @_on_feed(_gkg("SELECT * FROM news_gkg"))
 def json_slices(feed: Feed) -> DataFrame:
     spark = feed.gkg.sparkSession
     path = _folder(spark, "slices")
-    _land(feed.gkg, "DATE", path)
+    _land(feed.gkg, path)
     return sources.read_json(spark, path, "gkg")
 
 
+@_on_feed(_events("SELECT GLOBALEVENTID, SQLDATE, EventCode, AvgTone, SOURCEURL FROM news_events"))
+def json_one_array(feed: Feed) -> DataFrame:
+    """All events as one array in one file, which is read in blocks."""
+    spark = feed.events.sparkSession
+    path = _folder(spark, "array")
+    _land(feed.events, path, files=1)
+    return sources.read_json(spark, path, "events").select(EVENT, "SQLDATE", "EventCode", "AvgTone", "SOURCEURL")
+
+
+@_on_feed(f"""WITH shown(position, nombre) AS (VALUES (0, '{find("conflict_heatmap").result}'),
+        (1, '{find("sentiment_trend").result}'), (2, 'aa_own'), (3, 'zz_own'))
+    SELECT CAST(position AS bigint) AS position, nombre, n FROM shown, (SELECT count(*) AS n FROM ({oracle.SQL["sentiment_trend"]}))""")
+def catalog_of_results(feed: Feed) -> DataFrame:
+    """Stored results as the catalog lists them: known ones in its order, others by name, hidden ones not at all."""
+    trend = _result(feed, "sentiment_trend")
+    spark = trend.sparkSession
+    root = _folder(spark, "history")
+    known = [find(n).result for n in ("sentiment_trend", "conflict_heatmap")]
+    for name in ("startup_log", "zz_own", known[0], "system.views", "aa_own", known[1]):
+        sources.append_results(trend, root, name, _NOW)
+    listed = None
+    for position, name in enumerate(sources.stored_results(spark, root)):
+        rows = sources.read_results(spark, root, name).agg(F.count("*").alias("n"))
+        rows = rows.select(F.lit(position).cast("long").alias("position"), F.lit(name).alias("nombre"), "n")
+        listed = rows if listed is None else listed.unionAll(rows)
+    return listed
+
+
 @_on_feed(oracle.SQL["sentiment_trend"])
 def json_result(feed: Feed) -> DataFrame:
     trend = _result(feed, "sentiment_trend")
@@ -533,7 +573,7 @@ def table_backfill_then_ingest(feed: Feed) -> DataFrame:
     spark = feed.mentions.sparkSession
     root = _folder(spark, "tables")
     sources.write_table(feed.mentions, root, "mentions")
-    _land(feed.mentions, "MentionTimeDate", f"{root}/landing/mentions")
+    _land(feed.mentions, f"{root}/landing/mentions")
     streaming.ingest(spark, f"{root}/landing", root, "mentions", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(schemas.MENTIONS).parquet(f"{root}/mentions").select(schemas.MENTIONS.names)
 
@@ -565,6 +605,15 @@ def history_expired(feed: Feed) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
+def _drained(stream: DataFrame, run: str) -> DataFrame:
+    """All rows of a stream, stored as they come out and read back."""
+    spark = stream.sparkSession
+    stream.writeStream.option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True).start(
+        f"{run}/rows", format="parquet", outputMode="append"
+    ).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{run}/rows")
+
+
 def _on_stream(sql: str):
     """Register a stream over the test events; it is drained to Parquet files and read back."""
 
@@ -577,11 +626,37 @@ def _on_stream(sql: str):
                 arriving = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
             else:
                 arriving = reader.parquet(path)
+            return _drained(build(arriving), _folder(spark, build.__name__))
+
+        _register(build.__name__, query, sql)
+        return build
+
+    return decorate
+
+
+def _arriving(rows: DataFrame, folder: str, batches: int, order: str) -> DataFrame:
+    """Rows as a stream of several batches, in order of an expression but for one row in five, which comes a batch later."""
+    spark = rows.sparkSession
+    keys = rows.select(F.expr(order).alias("k")).distinct()
+    placed = keys.select("k", F.expr(f"cast({batches} * percent_rank() OVER (ORDER BY k) AS int)").alias("batch"))
+    late = F.when(F.pmod(F.xxhash64(*rows.columns), F.lit(5)) == 0, 1).otherwise(0)
+    dealt = rows.withColumn("k", F.expr(order)).join(placed, "k").withColumn("batch", F.least(F.col("batch") + late, F.lit(batches)))
+    dealt = dealt.drop("k").persist()
+    for n in range(batches + 1):
+        # One file after the other, as the reader takes them in order of their times.
+        dealt.filter(F.col("batch") == n).drop("batch").coalesce(1).write.mode("append").parquet(folder)
+    dealt.unpersist()
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _on_batches(sql: str):
+    """Register a stream over the base rows of the feed, which arrive in several batches, some of them late."""
+
+    def decorate(build: Callable[[DataFrame, str], DataFrame]):
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
             run = _folder(spark, build.__name__)
-            build(arriving).writeStream.option("checkpointLocation", f"{run}/checkpoint").trigger(
-                availableNow=True
-            ).start(f"{run}/rows", format="parquet", outputMode="append").awaitTermination()
-            return spark.read.parquet(f"{run}/rows")
+            base = spark.read.parquet(f"{sf_dir}/events.parquet")
+            return _drained(build(_arriving(base, f"{run}/base", 4, "date_trunc('hour', ts)")), run)
 
         _register(build.__name__, query, sql)
         return build
@@ -633,3 +708,144 @@ def stream_escalation(base: DataFrame) -> DataFrame:
 def stream_breaking_hours(base: DataFrame) -> DataFrame:
     hours = streaming.breaking_hours(news_mentions(base))
     return hours.withColumn("first", fn.mention_time_text(F.col("first")))
+
+
+# The base rows arrive in five batches; a row that is late is late by as much as a batch covers.
+_LATE = "10 days"
+_DONE = "(SELECT max(t) - INTERVAL 10 DAY FROM timed)"
+
+
+@_on_batches(f"""{oracle._with(oracle.MENTIONS, _TIMED)},
+    apart AS (SELECT GLOBALEVENTID, t, coalesce(t - lag(t) OVER w > INTERVAL 30 MINUTE, true) AS begins
+        FROM timed WINDOW w AS (PARTITION BY GLOBALEVENTID ORDER BY t)),
+    numbered AS (SELECT *, count(*) FILTER (begins) OVER (PARTITION BY GLOBALEVENTID ORDER BY t
+        ROWS UNBOUNDED PRECEDING) AS island FROM apart),
+    islands AS (SELECT GLOBALEVENTID, min(t) AS a, max(t) AS b, count(*) AS mentions FROM numbered GROUP BY GLOBALEVENTID, island)
+    SELECT GLOBALEVENTID, strftime(a, {_TEXT_FORMAT}) AS burst_start, strftime(b, {_TEXT_FORMAT}) AS burst_end, mentions
+    FROM islands WHERE b + INTERVAL 1801 SECOND <= {_DONE}""")
+def stream_bursts(base: DataFrame) -> DataFrame:
+    bursts = streaming.mention_bursts(news_mentions(base), 30, _LATE)
+    return bursts.withColumns({c: fn.mention_time_text(F.col(c)) for c in ("burst_start", "burst_end")})
+
+
+@_on_batches(f"""{oracle._with(oracle.EVENTS, oracle.MENTIONS, _TIMED)},
+    sliced AS (SELECT time_bucket(INTERVAL 15 MINUTE, t, TIMESTAMP '2000-01-01 00:00:00') AS s, GLOBALEVENTID, count(*) AS n
+        FROM timed GROUP BY ALL),
+    located AS (SELECT GLOBALEVENTID, ActionGeo_CountryCode AS pais, {oracle.DAY} AS day FROM news_events
+        WHERE ActionGeo_CountryCode IS NOT NULL),
+    last AS (SELECT least({_DONE}, (SELECT max(day) FROM located) - INTERVAL 10 DAY) - INTERVAL 3 DAY AS final)
+    SELECT strftime(s, {_TEXT_FORMAT}) AS slice, pais, CAST(sum(n) AS bigint) AS menciones
+    FROM sliced JOIN located USING (GLOBALEVENTID), last
+    WHERE s + INTERVAL 15 MINUTE > day AND s + INTERVAL 15 MINUTE <= day + INTERVAL 3 DAY AND s + INTERVAL 15 MINUTE <= final
+    GROUP BY s, pais""")
+def stream_country_slices(base: DataFrame) -> DataFrame:
+    counts = streaming.country_slices(news_mentions(base), news_events(base), _LATE, _LATE, "3 days")
+    return counts.withColumn("slice", fn.mention_time_text(F.col("slice")))
+
+
+@contextlib.contextmanager
+def _rocksdb(spark: SparkSession):
+    """Streams that start meanwhile keep their state in RocksDB, as those with state of their own need it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _on_rocksdb(name: str) -> None:
+    """Let a registered stream have state of its own."""
+    query = QUERIES[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with _rocksdb(spark):
+            return query(spark, sf_dir)
+
+    QUERIES[name] = run
+
+
+@_on_batches(f"""{oracle._with(oracle.MENTIONS, _TIMED)},
+    hourly AS (SELECT GLOBALEVENTID, date_trunc('hour', t) AS h, count(*) AS n FROM timed GROUP BY ALL),
+    rolled AS (SELECT a.GLOBALEVENTID, a.h, a.n, cast(sum(b.n) AS bigint) AS day FROM hourly a JOIN hourly b
+        ON a.GLOBALEVENTID = b.GLOBALEVENTID AND b.h BETWEEN a.h - INTERVAL 24 HOUR AND a.h GROUP BY ALL),
+    lagged AS (SELECT *, coalesce(lag(day) OVER (PARTITION BY GLOBALEVENTID ORDER BY h), 0) AS before FROM rolled)
+    SELECT GLOBALEVENTID, strftime(h, {_TEXT_FORMAT}) AS hour, n AS mentions, day AS mentions_24h, before AS mentions_24h_before,
+        day - before AS acceleration FROM lagged WHERE h + INTERVAL 1 HOUR <= {_DONE}""")
+def stream_escalation_speeds(base: DataFrame) -> DataFrame:
+    speeds = streaming.escalation_speeds(news_mentions(base), _LATE)
+    return speeds.withColumn("hour", fn.mention_time_text(F.col("hour")))
+
+
+@_on_batches(f"""{oracle._with(oracle.MENTIONS, oracle.FIRST_HOUR)}
+    SELECT GLOBALEVENTID, strftime(first, {_TEXT_FORMAT}) AS first, n AS mentions, s AS sources
+    FROM first_hour WHERE first + INTERVAL 1 HOUR < (SELECT max(ts) - INTERVAL 10 DAY FROM valid)""")
+def stream_first_hours(base: DataFrame) -> DataFrame:
+    hours = streaming.first_hours(news_mentions(base), _LATE, keep_hours=10_000)
+    return hours.withColumn("first", fn.mention_time_text(F.col("first")))
+
+
+for _n in ("stream_escalation_speeds", "stream_first_hours"):
+    _on_rocksdb(_n)
+
+
+# --- results brought up to date slice by slice -----------------------------------------------
+
+
+def _in_three_slices(feed: Feed, root: str) -> Feed:
+    """Streams of the tables that arrive in three slices. Rows are dealt by a hash, so that copies of an id come in different ones."""
+    streams = {}
+    for name, schema in schemas.TABLES.items():
+        rows = getattr(feed, name).select(schema.names)
+        spark = rows.sparkSession
+        dealt = rows.withColumn("slice", F.pmod(F.xxhash64(*schema.names), F.lit(3)))
+        dealt.repartitionByRange(3, "slice").drop("slice").write.parquet(f"{root}/{name}")
+        streams[name] = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}")
+    return Feed(**streams)
+
+
+def _newest(spark: SparkSession, history: str, result: str) -> DataFrame:
+    stored = sources.read_results(spark, history, result)
+    newest = stored.agg(F.max("created_at")).first()[0]
+    return stored.filter(F.col("created_at") == F.lit(newest)).drop("created_at", "created_hour")
+
+
+def _refreshed(name: str, approximate: bool = False) -> Query:
+    """The result after the last of three slices, each of which was read once."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _folder(spark, f"refresh-{name}")
+        arrivals = _in_three_slices(derived_feed(spark, sf_dir), root)
+        streaming.refresh_increments(
+            arrivals, f"{root}/states", f"{root}/history", f"{root}/checkpoint", analyses=[name], approximate=approximate
+        ).awaitTermination()
+        return _newest(spark, f"{root}/history", find(name).result)
+
+    return query
+
+
+for _n in INCREMENTAL:
+    _register(f"refreshed_{_n}", _refreshed(_n), oracle.SQL[_n])
+
+
+@_on_feed(_events("""SELECT ActionGeo_CountryCode AS pais, count(DISTINCT GLOBALEVENTID) AS total_eventos,
+    true AS within_3_percent, true AS slices_equal_whole FROM news_events WHERE ActionGeo_CountryCode IS NOT NULL GROUP BY pais"""))
+def sketched_events_by_country(feed: Feed) -> DataFrame:
+    """Distinct events counted by sketches of three slices, which are stored and merged, beside the exact count and one sketch of all."""
+    spark = feed.events.sparkSession
+    store = sources.StateStore(spark, _folder(spark, "sketches"))
+    events = feed.events.filter(F.col(COUNTRY).isNotNull()).select(F.col(COUNTRY).alias("pais"), EVENT, "EventCode")
+    for n in range(3):
+        arrived = events.filter(F.pmod(F.xxhash64(EVENT, "EventCode"), F.lit(3)) == n)
+        sketches = arrived.groupBy("pais").agg(fn.distinct_sketch(F.col(EVENT)).alias("sketch"))
+        store.append(sketches, "countries", n)
+    merged = store.log("countries", 3, sketches.schema).groupBy("pais").agg(fn.merged_sketches(F.col("sketch")).alias("sketch"))
+    whole = events.groupBy("pais").agg(F.count_distinct(EVENT).alias("total_eventos"), fn.distinct_sketch(F.col(EVENT)).alias("one"))
+    estimate = fn.sketch_estimate(F.col("sketch"))
+    return whole.join(merged, "pais").select(
+        "pais",
+        "total_eventos",
+        (F.abs(estimate - F.col("total_eventos")) <= 0.03 * F.col("total_eventos")).alias("within_3_percent"),
+        (estimate == fn.sketch_estimate(F.col("one"))).alias("slices_equal_whole"),
+    )

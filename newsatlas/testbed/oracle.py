@@ -4,10 +4,33 @@ Each statement derives the feed tables it needs from the test tables, as CTEs na
 Numbers are rounded through text: half away from zero on the printed digits, as Spark does it.
 """
 
-from newsatlas.functions.actors import CATEGORY_CODES
-from newsatlas.functions.regions import NO_REGION, REGION_CODES
 from newsatlas.testbed import derived
 
+# Fixed values, written out here once more, so that a wrong code in the library shows as a difference.
+NO_REGION = "Sin región"
+REGION_CODES = {
+    "Norteamérica": ["US", "CA", "GL"],
+    "Latinoamérica y Caribe": [
+        "MX", "CR", "CS", "GT", "HO", "HN", "ES", "SV", "NU", "PM", "PA", "CU", "DR", "HA", "JM", "RQ", "PR",
+    ],
+    "Sudamérica": ["BR", "AR", "CO", "VE", "PE", "EC", "CI", "CHL", "UY", "BL", "BO", "GY"],
+    "Europa": [
+        "UK", "GB", "FR", "GM", "DE", "SP", "ES2", "IT", "RS", "RU", "UP", "UA", "PL", "PO", "NL", "BE", "SZ", "SW",
+        "NO", "FI",
+    ],
+    "Asia": [
+        "CH", "CN", "JA", "JP", "KS", "KR", "KN", "IN", "PK", "BG", "TH", "VM", "RP", "PH", "ID", "MY", "IR", "IZ",
+        "IQ", "IS", "SA", "TU", "AF",
+    ],
+    "África": ["EG", "NI", "NG", "SF", "ZA", "KE", "ET", "SU", "SD", "MO", "MA", "AG", "DZ", "LY", "TZ"],
+    "Oceanía": ["AS", "AU", "NZ", "PP", "FJ"],
+}
+CATEGORY_CODES = {
+    "Gobierno": ["GOV", "LEG", "JUD", "COP", "SPY"],
+    "Militar": ["MIL"],
+    "Grupo rebelde": ["REB", "INS", "SEP"],
+}
+
 
 def _list(values) -> str:
     return "[" + ", ".join("NULL" if v is None else f"'{v}'" for v in values) + "]"
@@ -119,7 +142,7 @@ news_gkg AS (
 
 def _region(country: str, lat: str, lon: str) -> str:
     by_code = "\n            ".join(
-        f"WHEN upper(trim({country})) IN ({', '.join(repr(c) for c in codes.split())}) THEN '{name}'"
+        f"WHEN upper(trim({country})) IN ({', '.join(map(repr, codes))}) THEN '{name}'"
         for name, codes in REGION_CODES.items()
     )
     return f"""CASE
@@ -153,7 +176,7 @@ def _percent(part: str, whole: str) -> str:
 def _category(actor: int) -> str:
     types = [f"coalesce(Actor{actor}Type{t}Code, '')" for t in (1, 2, 3)]
     whens = " ".join(
-        "WHEN " + " OR ".join(f"{t} IN ({', '.join(repr(c) for c in codes.split())})" for t in types)
+        "WHEN " + " OR ".join(f"{t} IN ({', '.join(map(repr, codes))})" for t in types)
         + f" THEN '{name}'"
         for name, codes in CATEGORY_CODES.items()
     )
@@ -199,11 +222,9 @@ NEWEST = """newest AS (
 
 TONED_DAYS = """SQLDATE IS NOT NULL AND ActionGeo_CountryCode IS NOT NULL AND AvgTone IS NOT NULL"""
 
-# The moving average adds up in the order of the days, as a Spark frame does.
-_LAGS = [f"lag(tono_promedio_dia, {n}) OVER w" for n in range(6, 0, -1)]
-_RUNNING = "(" * 6 + " + ".join(
-    [f"coalesce({_LAGS[0]}, 0)"] + [f"coalesce({lag}, 0))" for lag in _LAGS[1:]] + ["tono_promedio_dia)"]
-)
+# Daily averages have two decimals: their moving average is taken of whole hundredths.
+_SMOOTH = """cast(round(cast(sum(cast(round(tono_promedio_dia * 100) AS bigint)) OVER (w ROWS 6 PRECEDING) AS decimal(38,12))
+    / (100 * count(*) OVER (w ROWS 6 PRECEDING)), 2) AS double)"""
 
 FIRST_HOUR = """valid AS (
     SELECT *, min(ts) OVER (PARTITION BY GLOBALEVENTID) AS first FROM (
@@ -291,7 +312,7 @@ SQL = {
         SELECT {DAY_TEXT} AS fecha, ActionGeo_CountryCode AS pais, {N} AS total_eventos,
                {_r("avg(AvgTone)", 2)} AS tono_promedio_dia
         FROM news_events WHERE {TONED_DAYS} GROUP BY ALL)
-        SELECT *, {_r(f"({_RUNNING}) / least(7, row_number() OVER w)", 2)} AS promedio_movil_7_dias
+        SELECT *, {_SMOOTH} AS promedio_movil_7_dias
         FROM daily WINDOW w AS (PARTITION BY pais ORDER BY fecha)""",
     "conflict_country_pairs": f"""{_with(EVENTS, PAIRS)} SELECT pais_a, pais_b, {N} AS total_conflictos,
         {_r("avg(GoldsteinScale)", 2)} AS goldstein_promedio, {_r("avg(AvgTone)", 2)} AS tono_promedio

@@ -179,3 +179,36 @@ def test_days_between_are_the_only_ones_read(spark, tmp_path, make, rows):
     assert [part.events.count(), part.mentions.count(), part.gkg.count()] == [2, 2, 2]
     plan = part.gkg._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_a_named_batch_is_stored_once_and_days_that_lack_follow(spark, tmp_path, make, rows, monkeypatch):
+    from newsatlas.sources import landing
+
+    data = make("events", *[{"SQLDATE": 20240100 + d, "GLOBALEVENTID": d} for d in (1, 2, 3)], {"GLOBALEVENTID": 9})
+    publish, done = landing._publish, []
+
+    def cut_short(*arguments):
+        if len(done) == 2:
+            raise OSError("lost")
+        done.append(publish(*arguments))
+
+    monkeypatch.setattr(landing, "_publish", cut_short)
+    with pytest.raises(OSError):
+        sources.write_table(data, str(tmp_path), "events", batch="b1")
+    stored = spark.read.parquet(f"{tmp_path}/events")
+    assert stored.count() == 2 and stored.schema["batch"]
+    monkeypatch.setattr(landing, "_publish", publish)
+    for _ in range(2):
+        sources.write_table(data, str(tmp_path), "events", batch="b1")
+    stored = spark.read.parquet(f"{tmp_path}/events")
+    assert sorted(rows(stored.select("GLOBALEVENTID"))) == [(1,), (2,), (3,), (9,)]
+
+
+def test_a_job_that_ends_in_the_middle_leaves_nothing_to_readers(spark, tmp_path, make, rows):
+    """Half of a batch's files were written before the executor was lost."""
+    staged = tmp_path / "_staged" / "events" / "b1" / "event_date=2024-01-01"
+    make("events", {"GLOBALEVENTID": 77}).write.parquet(str(staged))
+    sources.write_table(make("events", {"SQLDATE": 20240101, "GLOBALEVENTID": 1}), str(tmp_path), "events")
+    assert rows(spark.read.parquet(f"{tmp_path}/events").select("GLOBALEVENTID")) == [(1,)]
+    sources.write_table(make("events", {"SQLDATE": 20240101, "GLOBALEVENTID": 2}), str(tmp_path), "events", batch="b1")
+    assert sorted(rows(spark.read.parquet(f"{tmp_path}/events").select("GLOBALEVENTID"))) == [(1,), (2,)]
