@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from newsatlas.functions import feed_timestamp, feed_timestamp_prefix
 from newsatlas.plans.common import EVENT
+from newsatlas.sources.history import RETENTION
 from newsatlas.streaming.counts import not_ahead
 
 # The functions below travel with the job, so that executors need not have this package installed.
@@ -77,11 +79,11 @@ class _Speed(StatefulProcessor):
         pass
 
 
-def escalation_speeds(mentions: DataFrame, delay: str = "1 hour", keep_days: int = 30) -> DataFrame:
+def escalation_speeds(mentions: DataFrame, delay: str = "1 hour", keep: timedelta = timedelta(days=30)) -> DataFrame:
     """Every hour with mentions of an event, once it is over: those of the 25 hours up to it, and how many more than before.
 
     These are the rows that the batch analysis ranks: the frame holds both its ends, and ``acceleration`` is the growth over the event's
-    previous hour with mentions. An event that isn't mentioned for ``keep_days`` is forgotten, and then begins at zero again.
+    previous hour with mentions. The state of an event that isn't mentioned for ``keep`` goes; it is forgotten, and then begins at zero again.
     """
     check_state_store(mentions.sparkSession)
     hourly = (
@@ -94,7 +96,7 @@ def escalation_speeds(mentions: DataFrame, delay: str = "1 hour", keep_days: int
         .select(EVENT, F.window_time("window").alias("moment"), F.unix_timestamp("window.start").alias("hour"), "n")
     )
     rows = hourly.groupBy(EVENT).transformWithStateInPandas(
-        _Speed(keep_days * _DAY),
+        _Speed(int(keep.total_seconds())),
         f"{EVENT} long, hour long, mentions long, mentions_24h long, mentions_24h_before long",
         "Append",
         "EventTime",
@@ -148,13 +150,13 @@ class _FirstHour(StatefulProcessor):
         pass
 
 
-def first_hours(mentions: DataFrame, delay: str = "15 minutes", keep_hours: int = 6) -> DataFrame:
+def first_hours(mentions: DataFrame, delay: str = "15 minutes", keep: timedelta = RETENTION) -> DataFrame:
     """Mentions and sources in the hour after each event's first mention, once that hour is over.
 
     The same rows as :func:`newsatlas.streaming.breaking_hours`, for events of any size. Mentions are first counted by event, second and source,
     which divides even the mentions of one event among all tasks; an event's state sees one row for each of these. It holds three numbers and
     an entry for each source of the hour, none of which is written again by later batches. The state of an event that is
-    over goes ``keep_hours`` later, so that mentions until then do not begin another hour.
+    over has a time to live, ``keep``, as its stored results have: mentions until then do not begin another hour.
     """
     check_state_store(mentions.sparkSession)
     counted = (
@@ -171,7 +173,7 @@ def first_hours(mentions: DataFrame, delay: str = "15 minutes", keep_hours: int
         .select(EVENT, F.window_time("window").alias("moment"), F.unix_timestamp("window.start").alias("second"), "source", "n")
     )
     rows = counted.groupBy(EVENT).transformWithStateInPandas(
-        _FirstHour(keep_hours * _HOUR),
+        _FirstHour(int(keep.total_seconds())),
         f"{EVENT} long, first long, mentions long, sources long",
         "Append",
         "EventTime",

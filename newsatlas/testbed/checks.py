@@ -782,7 +782,7 @@ def stream_escalation_speeds(base: DataFrame) -> DataFrame:
     SELECT GLOBALEVENTID, strftime(first, {_TEXT_FORMAT}) AS first, n AS mentions, s AS sources
     FROM first_hour WHERE first + INTERVAL 1 HOUR < (SELECT max(ts) - INTERVAL 10 DAY FROM valid)""")
 def stream_first_hours(base: DataFrame) -> DataFrame:
-    hours = streaming.first_hours(news_mentions(base), _LATE, keep_hours=10_000)
+    hours = streaming.first_hours(news_mentions(base), _LATE, timedelta(days=400))
     return hours.withColumn("first", fn.mention_time_text(F.col("first")))
 
 
