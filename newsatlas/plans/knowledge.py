@@ -1,6 +1,6 @@
 """What the documents are about: themes, places and organisations."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsatlas.feed import Feed
 from newsatlas.functions import (
@@ -20,7 +20,7 @@ RECORD = "GKGRECORDID"
 
 
 def _items(gkg: DataFrame) -> DataFrame:
-    """Distinct (record, place?, year, value) of the regions and themes a record names, from one scan.
+    """The (record, place?, year, value) of the regions and themes a record names, from one scan.
 
     The second location format has one field more before the coordinates. The first one counts only
     where the second is missing or blank; a blank item stands for a place without a region. A blank list of
@@ -54,25 +54,24 @@ def _items(gkg: DataFrame) -> DataFrame:
     )
     value = F.when(F.col("place"), region_of("country", "lat", "lon")).otherwise(F.col("tema"))
     named = located.filter(F.col("place") | (F.col("tema") != ""))
-    return named.select(RECORD, "place", "anio", value.alias("value")).distinct()
+    return named.select(RECORD, "place", "anio", value.alias("value"))
 
 
 def themes_by_region_year(feed: Feed, top: int = 20) -> DataFrame:
     """Leading themes per region and year, by number of documents.
 
-    Places and themes are made distinct per record before they meet, so copies of a record cost
-    nothing, and each (record, region, theme) comes out once: a plain count, merged in
-    every task before its shuffle, replaces a distinct count over all combinations. Records are read once; of a record only
-    its few (year, region) pairs are held while its themes pass by.
+    A record's places and themes are made distinct by one narrow aggregate, in which every task merges its own first, so copies of a record cost
+    nothing. Their product is taken within the record's one row and needs no shuffle: each (record, region, theme) comes out once, and a plain
+    count, merged in every task before its shuffle, replaces a distinct count over all combinations.
     """
     items = _items(feed.gkg.filter(F.col(RECORD).isNotNull()))
-    pair = F.when(F.col("place"), F.struct("anio", F.col("value").alias("continente")))
-    pairs = F.collect_list(pair).over(Window.partitionBy(RECORD))
+    merged = items.groupBy(RECORD).agg(F.collect_set(F.struct("place", "anio", "value")).alias("items"))
+    pairs = F.filter("items", lambda i: i["place"])
+    themes = F.transform(F.filter("items", lambda i: ~i["place"]), lambda i: i["value"])
     counts = (
-        items.withColumn("pairs", pairs)
-        .filter(~F.col("place"))
-        .select(F.explode("pairs").alias("pair"), F.col("value").alias("tema"))
-        .groupBy("pair.continente", "pair.anio", "tema")
+        merged.select(F.explode(pairs).alias("pair"), themes.alias("temas"))
+        .select(F.col("pair.value").alias("continente"), "pair.anio", F.explode("temas").alias("tema"))
+        .groupBy("continente", "anio", "tema")
         .agg(F.count("*").alias("total_documentos"))
     )
     order = [F.desc("total_documentos"), F.col("tema")]
