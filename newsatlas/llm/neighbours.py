@@ -18,15 +18,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import stored
+from .common import ship, stored
 
 #: Projected dimensions (even), certainty of the stopping test, vectors of an index block and of a leaf.
-DIMENSIONS, CERTAINTY, BLOCK_ROWS, LEAF_ROWS = 8, 0.97, 8192, 32
+DIMENSIONS, CERTAINTY, BLOCK_ROWS, LEAF_ROWS = 24, 0.93, 16_384, 64
 #: Vectors that the upper part of the tree is fitted to, at most. All vectors are indexed.
 SAMPLE_ROWS = 50_000
 #: Cells of the upper part, at most; beyond that cells have more blocks.
 MOST_CELLS = 4096
-QUERY_ROWS = 512
+#: Queries that a task compares with a block, at most about; and those it holds products of at once.
+QUERY_ROWS, TOGETHER = 16_384, 256
 
 
 def chi_square(x: np.ndarray, degrees: int) -> np.ndarray:
@@ -156,79 +157,98 @@ def search(
     bound: np.ndarray,
     k: int,
     model: Projection,
-) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and ids of the k best of a block for each query (-inf and -1 where there are fewer).
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Scores and ids of the k best of a block for each query (-inf and -1 where there are fewer), and how many vectors were verified.
 
-    The leaves of the block's kd-tree are taken in order of their distance from a query's projection, one for all queries
-    in each round. A query stops when the chi-square test holds for the next leaf: its squared distance is at
-    least ``model.stop`` times the squared distance of the k-th best vector so far (or of ``bound``, found elsewhere).
+    Leaves of the block's kd-tree that the chi-square test excludes for all queries are left out. The points of the others are taken
+    in order of their projected distance, more in each round, and verified on the vectors. A query stops when the test holds for
+    its next point: its squared distance is at least ``model.stop`` times the squared distance of the k-th best vector so
+    far (or of ``bound``, found elsewhere).
     """
     leaves = split(points, LEAF_ROWS)
     low = np.stack([points[m].min(axis=0) for m in leaves])
     high = np.stack([points[m].max(axis=0) for m in leaves])
-    table = np.full((len(leaves), LEAF_ROWS), -1)
-    for i, m in enumerate(leaves):
-        table[i, : len(m)] = m
     scores, found = np.full((len(queries), k), -np.inf), np.full((len(queries), k), -1)
-    norms = (queries * queries).sum(axis=1)
-    near = _distance_to(projected, low, high)
-    order = near.argsort(axis=1, kind="stable")
+    norms, verified = (queries * queries).sum(axis=1), 0
+    for start in range(0, len(queries), TOGETHER):
+        own = slice(start, min(start + TOGETHER, len(queries)))
+        reach = np.maximum(model.largest + norms[own] - 2 * bound[own], 0)
+        admitted = (_distance_to(projected[own], low, high) <= model.stop * reach[:, None]).any(axis=0)
+        if not admitted.any():
+            continue
+        places = np.concatenate([m for m, a in zip(leaves, admitted) if a])
+        near = points[places]
+        near = (projected[own] ** 2).sum(axis=1)[:, None] + (near**2).sum(axis=1) - 2 * projected[own] @ near.T
+        near[ids[places][None, :] == query_ids[own][:, None]] = np.inf
+        verified += _verify(queries[own], norms[own], bound[own], ids, vectors, places, near, scores[own], found[own], model)
+    return scores, found, verified
+
+
+def _verify(queries, norms, bound, ids, vectors, places, near, scores, found, model) -> int:
+    """Rounds over the points of ``places``, by their projected squared distance ``near``; fills in ``scores`` and ``found``."""
+    k, verified, size = scores.shape[1], 0, 4 * scores.shape[1]
     active = np.arange(len(queries))
-    for step in range(len(leaves)):
-        leaf = order[active, step]
+    while True:
         kth = np.maximum(scores[active].min(axis=1), bound[active])
         reach = np.maximum(model.largest + norms[active] - 2 * kth, 0)
-        going = ~(near[active, leaf] > model.stop * reach)
-        active, leaf = active[going], leaf[going]
+        least = near[active].min(axis=1)
+        active = active[(least <= model.stop * reach) & (least < np.inf)]
         if not len(active):
-            break
-        places = table[leaf]
-        # Row by row in double precision, so that equal vectors have equal scores wherever they stand.
-        products = (vectors[places] * queries[active, None, :]).sum(axis=2)
-        own = (places < 0) | (ids[places] == query_ids[active, None])
-        products[own] = -np.inf
-        both = np.concatenate([scores[active], products], axis=1)
-        names = np.concatenate([found[active], np.where(own, -1, ids[places])], axis=1)
+            return verified
+        rest = near[active]
+        most = min(size, rest.shape[1])
+        next_ones = np.argpartition(rest, most - 1, axis=1)[:, :most] if most < rest.shape[1] else np.tile(np.arange(most), (len(active), 1))
+        kth = np.maximum(scores[active].min(axis=1), bound[active])
+        reach = np.maximum(model.largest + norms[active] - 2 * kth, 0)
+        distance = np.take_along_axis(rest, next_ones, axis=1)
+        near[active[:, None], next_ones] = np.inf
+        row, column = np.nonzero((distance <= model.stop * reach[:, None]) & (distance < np.inf))
+        verified += len(row)
+        at = places[next_ones[row, column]]
+        products = np.full(next_ones.shape, -np.inf)
+        for i in range(0, len(row), 1 << 16):  # row by row in double precision, so that equal vectors have equal scores
+            part = slice(i, i + (1 << 16))
+            products[row[part], column[part]] = (vectors[at[part]] * queries[active[row[part]]]).sum(axis=1)
+        better = np.flatnonzero((products >= scores[active].min(axis=1)[:, None]).any(axis=1) & np.isfinite(products).any(axis=1))
+        who = active[better]
+        names = np.where(np.isfinite(products[better]), ids[places[next_ones[better]]], -1)
+        both = np.concatenate([scores[who], products[better]], axis=1)
+        names = np.concatenate([found[who], names], axis=1)
         best = np.lexsort((names, -both), axis=1)[:, :k]
-        scores[active] = np.take_along_axis(both, best, axis=1)
-        found[active] = np.take_along_axis(names, best, axis=1)
-    return scores, found
+        scores[who] = np.take_along_axis(both, best, axis=1)
+        found[who] = np.take_along_axis(names, best, axis=1)
+        size *= 2
 
 
-def _answers(shared, k: int):
-    def run(batches):
-        model = shared.value
-        m = model.directions.shape[1]
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                x = np.frombuffer(row["vectors"], np.float64).reshape(len(ids), -1)
-                q_ids = np.frombuffer(row["query_ids"], np.int64)
-                q = np.frombuffer(row["queries"], np.float64).reshape(len(q_ids), -1)
-                bound = np.frombuffer(row["bounds"], np.float64)
-                p = model.project(x, False)
-                scores, found = search(q, q_ids, ids, x, p, model.project(q, True), bound, k, model)
-                good = (found >= 0).ravel()
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "query_id": pa.array(np.repeat(q_ids, k)[good]),
-                        "vec_id": pa.array(found.ravel()[good]),
-                        "score": pa.array(scores.ravel()[good]),
-                    }
-                )
+def _table_vectors(table: pa.Table, ids: str) -> tuple[np.ndarray, np.ndarray]:
+    flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return table.column(ids).to_numpy().astype(np.int64), flat.reshape(table.num_rows, -1)
 
-    return run
 
+_ANSWER = "query_id long, vec_id long, score double"
 
-def _pack(names: tuple[str, ...]):
-    """Rows of one key as one row of arrays; a key has a bounded number of rows."""
 
-    def run(key, table):
-        ids, x = _vectors(table.combine_chunks().to_batches()[0], names[0], "v")
-        out = {"cell": [key[0].as_py()], names[1]: [ids.tobytes()], names[2]: [x.tobytes()]}
-        if "bound" in table.column_names:
-            out["bounds"] = [table.column("bound").to_numpy().astype(np.float64).tobytes()]
-        return pa.table(out)
+def _answers(shared, k: int):
+    """The answers of one block to the queries that reach it."""
+
+    def run(block: pa.Table, asked: pa.Table) -> pa.Table:
+        model = shared.value
+        if not block.num_rows or not asked.num_rows:
+            none = pa.array([], pa.int64())
+            return pa.table({"query_id": none, "vec_id": none, "score": pa.array([], pa.float64())})
+        ids, x = _table_vectors(block, "vec_id")
+        q_ids, q = _table_vectors(asked, "vec_id")
+        bound = asked.column("bound").to_numpy(zero_copy_only=False).astype(np.float64)
+        bound = np.where(np.isnan(bound), -np.inf, bound)
+        scores, found, _ = search(q, q_ids, ids, x, model.project(x, False), model.project(q, True), bound, k, model)
+        good = ((found >= 0) & (scores >= bound[:, None])).ravel()
+        return pa.table(
+            {
+                "query_id": pa.array(np.repeat(q_ids, k)[good]),
+                "vec_id": pa.array(found.ravel()[good]),
+                "score": pa.array(scores.ravel()[good]),
+            }
+        )
 
     return run
 
@@ -251,22 +271,29 @@ def nearest(
     Every vector is indexed: a kd-tree over projections, whose upper part is fitted to at most ``sample_rows`` vectors and divides
     them into cells, and whose lower part is built for each block of a cell. Cells with many rows (a vector that comes very
     often) have many blocks, so that no task gets more than about ``block_rows`` at once. A query is answered in its
-    own cell first; the k-th score found there is then the bound with which the stopping test chooses the other cells.
+    own cell first; the k-th score found there is then the bound with which the stopping test chooses the other cells. Queries
+    travel to the blocks, and a block only to its queries; pairs of them are never made.
 
-    Vectors that are null, zero, or hold null or non-finite components take no part, nor do those without an id. So do not those
+    Rows of ``queries`` with one id are one query, that of the least vector. Vectors that are null, zero, or hold null or non-finite components take no part, nor do those without an id. So do not those
     whose length isn't the most common one's (the longest of these in a tie). Rows with one id are one candidate each, and
     may be named twice. No candidates give no rows. Other columns are not read.
     """
     spark = vectors.sparkSession
 
+    ship(spark)
+    kind = vectors.schema["v"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"  # what a double cannot hold more exactly stays short
+
     def usable(frame: DataFrame) -> DataFrame:
-        v = F.col("v").cast("array<double>")
+        v = F.col("v").cast(kind)
         good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         frame = frame.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
         return frame.filter(F.col("vec_id").isNotNull() & good & F.exists("v", lambda x: x != 0))
 
     rows, asked = usable(vectors), usable(queries)
-    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    asked = asked.groupBy("vec_id").agg(F.min("v").alias("v"))
+    wide = F.col("v").cast("array<double>")
+    norm = F.aggregate(wide, F.lit(0.0), lambda s, x: s + x * x)
     found = (
         rows.groupBy(F.size("v").alias("d"))
         .agg(F.count("*").alias("n"), F.max(norm).alias("largest"))
@@ -289,37 +316,36 @@ def nearest(
     shared = spark.sparkContext.broadcast(model)  # of at most MOST_CELLS cuts
 
     # A cell has one block for each block_rows of its rows; ids decide which.
-    celled = rows.mapInArrow(_index(shared), "vec_id long, cell long, v array<double>")
+    celled = rows.mapInArrow(_index(shared), f"vec_id long, cell long, v {kind}")
     sizes = celled.groupBy("cell").agg(F.count("*").alias("n"))
-    blocks = sizes.select("cell", F.ceil(F.col("n") / F.lit(block_rows)).cast("long").alias("blocks"))
-    keyed = celled.join(F.broadcast(blocks), "cell")  # at most MOST_CELLS rows
-    keyed = keyed.withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks") * MOST_CELLS + F.col("cell"))
-    index = keyed.select("block", "vec_id", "v").groupBy("block").applyInArrow(
-        _pack(("vec_id", "ids", "vectors")), "cell long, ids binary, vectors binary"
-    )
-    index = stored(index.withColumnRenamed("cell", "block").withColumn("cell", F.col("block") % MOST_CELLS), "index")
+    blocks = stored(sizes.select("cell", F.ceil(F.col("n") / F.lit(block_rows)).cast("long").alias("blocks")), "blocks")
+    block = F.pmod(F.xxhash64("vec_id", F.lit(seed)), "blocks") * MOST_CELLS + F.col("cell")
+    index = celled.join(F.broadcast(blocks), "cell").select("cell", block.alias("block"), "vec_id", "v")  # at most MOST_CELLS rows
+    index = stored(index, "index")
 
     def answered(wanted: DataFrame) -> DataFrame:
-        """Answers to rows (vec_id, v, bound, cell), packed by cell, from every block of their cells."""
-        share = F.floor(F.row_number().over(Window.partitionBy("cell", "part").orderBy("vec_id")) / QUERY_ROWS)
-        parts = wanted.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
-        parts = parts.withColumn("key", (share * 64 + F.col("part")) * MOST_CELLS + F.col("cell")).select("key", "vec_id", "v", "bound")
-        packs = parts.groupBy("key").applyInArrow(
-            _pack(("vec_id", "query_ids", "queries")), "cell long, query_ids binary, queries binary, bounds binary"
-        )
-        packs = packs.withColumn("cell", F.col("cell") % MOST_CELLS)
-        pairs = packs.join(index, "cell").repartition("block", F.xxhash64("query_ids"))
-        return pairs.mapInArrow(_answers(shared, k), "query_id long, vec_id long, score double")
+        """Answers to rows (vec_id, v, bound, cell), from every block of their cells.
+
+        A block's vectors travel to its queries once, or once for each of ``parts`` shares of them where there are very many.
+        """
+        asking = wanted.groupBy("cell").agg(F.count("*").alias("n"))
+        parts = F.broadcast(asking.select("cell", F.ceil(F.col("n") / F.lit(QUERY_ROWS)).cast("int").alias("parts")))  # at most MOST_CELLS rows
+        near = index.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        each = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: i * MOST_CELLS + F.col("cell")))
+        share = F.pmod(F.xxhash64("vec_id", F.lit(seed + 1)), "parts").cast("int")
+        asked = wanted.join(parts, "cell").join(F.broadcast(blocks), "cell").select(each.alias("block"), share.alias("part"), "vec_id", "v", "bound")
+        near = near.select("block", "part", "vec_id", "v").groupBy("block", "part")
+        return near.cogroup(asked.groupBy("block", "part")).applyInArrow(_answers(shared, k), _ANSWER)
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = lambda frame: frame.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
-    homes = asked.mapInArrow(_homes(shared), "vec_id long, v array<double>, cell long")
+    homes = asked.mapInArrow(_homes(shared), f"vec_id long, v {kind}, cell long")
     at_home = stored(kth(answered(homes.withColumn("bound", F.lit(float("-inf"))))).drop("rank"), "answers-at-home")
     bounds = at_home.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least"))
     bounds = bounds.select(F.col("query_id").alias("vec_id"), F.when(F.col("n") >= k, F.col("least")).alias("bound"))
     others = homes.join(bounds, "vec_id", "left").mapInArrow(
-        _other_cells(shared), "vec_id long, v array<double>, bound double, cell long"
+        _other_cells(shared), f"vec_id long, v {kind}, bound double, cell long"
     )
     everything = at_home.unionByName(answered(others))
     return kth(everything).select("query_id", "rank", "vec_id", "score")

@@ -1,8 +1,11 @@
 """Recall and exact scores against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from newsatlas.llm import neighbours
 from newsatlas.llm.neighbours import chi_square, chi_square_point, nearest
 
 
@@ -82,3 +85,44 @@ def test_no_vectors(spark):
 def test_chi_square():
     assert np.isclose(chi_square(np.array([15.507]), 8)[0], 0.95, atol=1e-4)
     assert np.isclose(chi_square_point(0.95, 8), 15.507, atol=1e-2)
+
+
+def test_repeated_queries_and_clashing_columns(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
+    columns = "vec_id long, v array<double>, cell string, block string, bound string, part string, n string, blocks string, parts string"
+    frame = spark.createDataFrame([(*r, *["x"] * 7) for r in rows], columns)
+    asked = frame.filter("vec_id % 20 = 0")
+    found = nearest(frame, asked.union(asked).union(asked.withColumn("v", F.transform("v", lambda x: x + 1000))), k=20, block_rows=60).collect()
+    assert compare(found, brute(rows, 20), 20) >= 0.9
+    assert len({(r["query_id"], r["vec_id"]) for r in found}) == len(found)
+
+
+def test_many_queries_of_one_cell(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 10)
+    rows = [(i, [1.0, float(i % 7), 0.5]) for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    found = nearest(frame, frame.filter("vec_id % 20 = 0"), k=5, block_rows=100).collect()
+    assert compare(found, brute(rows, 5), 5) == 1.0
+
+
+def test_the_stopping_test_stops(spark):
+    """Of 50,000 vectors in several cells, recall and the share of vectors that are verified; the README gives both."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(50_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids = np.arange(len(x))
+    asked = ids[::500]
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": ids, "v": x.tolist()}))
+    found = nearest(frame, frame.filter("vec_id % 500 = 0"), k=20).toPandas()
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    kth = np.sort(scores, axis=1)[:, -20]
+    got = found.merge(pd.DataFrame({"query_id": asked, "kth": kth}))
+    assert len(got) == 20 * len(asked) and (got["score"] >= got["kth"] - 1e-12).mean() >= 0.9
+    directions = np.random.default_rng(7).standard_normal((65, neighbours.DIMENSIONS))
+    stop = neighbours.chi_square_point(neighbours.CERTAINTY, neighbours.DIMENSIONS)
+    model = neighbours.Projection(directions, 1.0 + 1e-9, np.zeros(1, np.int64), np.zeros(1), stop)
+    none = np.full(len(asked), -np.inf)
+    *_, verified = neighbours.search(x[asked], asked, ids, x, model.project(x, False), model.project(x[asked], True), none, 20, model)
+    assert verified < 0.6 * len(asked) * len(ids)
