@@ -121,13 +121,13 @@ def _possible_pairs(percent: int):
 def _possible_members(percent: int):
     def run(members: pa.Table) -> pa.Table:
         """The members of a cluster, by the components of what its bitmaps don't exclude; those alone are left out."""
-        rows = {n: (z, b) for n, z, b in zip(*(members.column(c).to_pylist() for c in ("node", "size", "bits")))}
-        nodes = sorted(rows, key=lambda n: (rows[n][0], n))
-        sizes = np.array([rows[n][0] for n in nodes], np.int64)
-        lengths = np.array([len(rows[n][1]) for n in nodes])
+        # A node has a row for each of its document's texts, as a rule one.
+        rows = sorted(set(zip(*(members.column(c).to_pylist() for c in ("size", "node", "bits")))))
+        sizes, nodes, bits = (list(c) for c in zip(*rows))
+        sizes, lengths = np.array(sizes, np.int64), np.array([len(b) for b in bits])
         m = len(nodes)
         near = np.eye(m, dtype=bool)
-        by_length = {int(w): np.stack([np.frombuffer(rows[nodes[i]][1], np.uint8) for i in np.flatnonzero(lengths == w)]) for w in np.unique(lengths)}
+        by_length = {int(w): np.stack([np.frombuffer(bits[i], np.uint8) for i in np.flatnonzero(lengths == w)]) for w in np.unique(lengths)}
         first = {w: int(np.searchsorted(lengths, w)) for w in by_length}  # sizes and lengths are in one order
         for w, own in by_length.items():
             for v, others in by_length.items():
@@ -397,15 +397,73 @@ def _in_lists(postings: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(_lists(percent), _LIST)
 
 
-def _compressed(batches):
-    for rows in chunks(batches, ["doc_id", "text"], most=4_000_000):
-        pack = zstandard.ZstdCompressor(level=1)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "node": pa.array([i for i, _ in rows], pa.int64()),
-                "packed": pa.array([pack.compress(t or b"") for _, t in rows], pa.binary()),
-            }
-        )
+#: Bits of a filter of nodes for each of them, at most so many in all (32 MB), and bits of one of its pieces.
+NODE_BITS, MOST_BITS, PIECE_BITS = 16, 1 << 28, 1 << 16
+
+
+def _bit_places(nodes: np.ndarray, bits: int) -> np.ndarray:
+    """The bits of nodes, a row each, in a filter of a power of two of bits."""
+    h = mixed(nodes.astype(np.int64).view(np.uint64))
+    return np.stack([(h >> np.uint64(s)) ^ (h << np.uint64(7 * i)) for i, s in enumerate((0, 17, 31, 43))], 1) & np.uint64(bits - 1)
+
+
+def _filter_pieces(bits: int):
+    def run(batches):
+        for batch in batches:
+            at = np.unique(_bit_places(batch.column("node").to_numpy(zero_copy_only=False), bits))
+            piece = (at // np.uint64(PIECE_BITS)).astype(np.int64)
+            found = np.unique(piece)
+            out = []
+            for p in found:
+                own = np.zeros(PIECE_BITS, bool)
+                own[(at[piece == p] % np.uint64(PIECE_BITS)).astype(np.int64)] = True
+                out.append(np.packbits(own, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_pydict({"piece": pa.array(found, pa.int64()), "bits": pa.array(out, pa.binary())})
+
+    return run
+
+
+def _one_piece(rows: pa.Table) -> pa.Table:
+    whole = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in rows.column("bits").to_pylist()])
+    return pa.table({"piece": rows.column("piece").slice(0, 1), "bits": pa.array([whole.tobytes()], pa.binary())})
+
+
+def node_filter(nodes: DataFrame) -> np.ndarray:
+    """A Bloom filter, as bytes, of rows (node long). It is never larger than ``MOST_BITS``: with very many nodes it admits more others."""
+    bits = max(PIECE_BITS, min(MOST_BITS, 1 << (NODE_BITS * nodes.count()).bit_length()))
+    pieces = nodes.select("node").mapInArrow(_filter_pieces(bits), "piece long, bits binary")
+    out = np.zeros((bits // PIECE_BITS, PIECE_BITS // 8), np.uint8)
+    for row in pieces.groupBy("piece").applyInArrow(_one_piece, "piece long, bits binary").toLocalIterator():
+        out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def admitted(nodes: np.ndarray, filter_: np.ndarray) -> np.ndarray:
+    at = _bit_places(nodes, 8 * len(filter_))
+    return ((filter_[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+
+
+def _compressed(wanted):
+    def run(batches):
+        """The texts of documents that the filter admits."""
+        filter_ = wanted.value
+
+        def chosen():
+            for batch in batches:
+                keep = admitted(batch.column("doc_id").to_numpy(zero_copy_only=False), filter_)
+                if keep.any():
+                    yield batch.filter(pa.array(keep))
+
+        for rows in chunks(chosen(), ["doc_id", "text"], most=4_000_000):
+            pack = zstandard.ZstdCompressor(level=1)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": pa.array([i for i, _ in rows], pa.int64()),
+                    "packed": pa.array([pack.compress(t or b"") for _, t in rows], pa.binary()),
+                }
+            )
+
+    return run
 
 
 def _dealt(n: int):
@@ -476,17 +534,15 @@ def linked_members(sets: list[np.ndarray], percent: int) -> np.ndarray:
 def _link(percent: int):
     def run(members: pa.Table) -> pa.Table:
         """The links that join the members of one cluster."""
-        sets = {}
-        for node, own in zip(members.column("node").to_pylist(), members.column("own").to_pylist()):
-            sets.setdefault(node, own)
-        nodes = sorted(sets)
-        own = []
-        for node in nodes:
-            wide = np.zeros((len(sets[node]) // 6, 8), np.uint8)
-            wide[:, 2:] = np.frombuffer(sets[node], np.uint8).reshape(-1, 6)
+        # A node has a set for each of its document's texts, as a rule one.
+        rows = sorted(set(zip(members.column("node").to_pylist(), members.column("own").to_pylist())))
+        nodes, own = [n for n, _ in rows], []
+        for _, short in rows:
+            wide = np.zeros((len(short) // 6, 8), np.uint8)
+            wide[:, 2:] = np.frombuffer(short, np.uint8).reshape(-1, 6)
             own.append(wide.view(np.uint64).ravel())
         first = linked_members(own, percent)
-        pairs = [(nodes[i], nodes[f]) for i, f in enumerate(first.tolist()) if f != i]
+        pairs = sorted({(nodes[i], nodes[f]) for i, f in enumerate(first.tolist()) if nodes[f] != nodes[i]})
         a, b = zip(*pairs) if pairs else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -494,9 +550,10 @@ def _link(percent: int):
 
 
 def _links(rows: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
-    """The links in clusters (cluster, part, node) of bounded size. Texts are shuffled once, and sets only of the nodes wanted."""
-    wanted = members.groupBy("node").agg(F.collect_list(F.struct("cluster", "part")).alias("clusters"))
-    texts = rows.filter("doc_id IS NOT NULL").mapInArrow(_compressed, "node long, packed binary")
+    """The links in clusters (cluster, part, node) of bounded size. Only texts and sets of the nodes wanted are shuffled."""
+    wanted = stored(members.groupBy("node").agg(F.collect_list(F.struct("cluster", "part")).alias("clusters")), "wanted")
+    filter_ = rows.sparkSession.sparkContext.broadcast(node_filter(wanted))  # 32 MB at most
+    texts = rows.filter("doc_id IS NOT NULL").mapInArrow(_compressed(filter_), "node long, packed binary")
     dealt = texts.join(wanted, "node").mapInArrow(_dealt(n), "cluster long, part long, node long, own binary")
     return dealt.groupBy("cluster", "part").applyInArrow(_link(percent), "a long, b long")
 
@@ -509,8 +566,8 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     their union. ``component_id`` is the smallest doc_id that links lead to, itself included.
 
     Null and empty texts have an empty set and are linked with nothing. A null doc_id takes no part and has a null component_id.
-    Repeated rows are reported each. Rows with one id should have one text; otherwise each has the component of its own text. Other
-    columns are not read, and an empty table gives no rows. n-grams are told apart by 64-bit hashes, and 48 bits of them where two sets are compared.
+    Repeated rows are reported each. Rows with one id are one document: it is linked with what any of its texts is linked
+    with, and they have one component. Other columns are not read, and an empty table gives no rows. n-grams are told apart by 64-bit hashes, and 48 bits of them where two sets are compared.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -550,10 +607,12 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     dealt = pairs.join(often, "b").withColumn("part", F.pmod(F.xxhash64("a"), "parts"))
     own = often.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("b").alias("node"))
     clusters = dealt.select("b", "part", F.col("a").alias("node")).union(own).withColumnRenamed("b", "cluster")
-    joined = components(_links(rows, clusters, n, percent))
+    # Texts of one id are texts of one document.
+    first = of.groupBy("doc_id").agg(F.min("node").alias("b"), F.count("*").alias("k")).filter("k > 1")
+    same = of.withColumnRenamed("node", "a").join(first, "doc_id").filter("a != b").select("a", "b")
+    joined = components(_links(rows, clusters, n, percent).union(same))
 
     # Lists of more than a pair whose members are in several components by now.
-    piece = F.xxhash64("key", "salt", F.col("docs")[0])
     # Of a list that is divided anywhere, all pieces belong together.
     piece = F.xxhash64("key", "salt", F.col("docs")[0])
     divided = lists.filter("divided").select("key", F.lit(True).alias("more")).distinct()

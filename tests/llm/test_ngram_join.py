@@ -170,3 +170,22 @@ def test_bitmaps_exclude_no_linked_set():
         assert maybe or 100 * both < 85 * (len(x) + len(y) - both)
         excluded += not maybe
     assert excluded > 50
+
+
+def test_one_id_with_several_texts(docs):
+    rng = random.Random(12)
+    text = lambda: [f"w{rng.randrange(10_000)}" for _ in range(60)]
+    near = lambda own: " ".join(own[:-1] + ["other"])
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, near(b)), (6, near(a)), (9, " ".join(c)), (8, " ".join(c)), (8, " ".join(d)), (11, near(d)), (12, " ".join(text()))]
+    assert ours(docs(rows)) == brute(rows)
+    assert {r[0]: r[2] for r in ours(docs(rows))} == {5: 5, 6: 5, 7: 5, 8: 8, 9: 8, 11: 8, 12: 12}
+
+
+def test_node_filter_admits_all_nodes(spark):
+    nodes = spark.range(0, 50_000, 7).toDF("node")
+    made_ = ngram_join.node_filter(nodes.repartition(5))
+    inside = np.arange(0, 50_000, 7)
+    assert ngram_join.admitted(inside, made_).all()
+    assert ngram_join.admitted(np.arange(100_000, 200_000), made_).mean() < 0.02
+    assert not ngram_join.admitted(inside, ngram_join.node_filter(nodes.filter("false"))).any()
