@@ -19,8 +19,15 @@ def escaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<|"), F.lit("&lt;|"))
 
 
+def escaped_after(text: Column) -> Column:
+    """As :func:`escaped`, for text that follows other pieces: with a bar at its start it might complete a control string."""
+    plain = escaped(text)
+    return F.when(F.startswith(plain, F.lit("|")), F.concat(F.lit("&#124;"), F.substr(plain, F.lit(2)))).otherwise(plain)
+
+
 def unescaped(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("&lt;|"), F.lit("<|")), F.lit("&amp;"), F.lit("&"))
+    bars = F.replace(F.replace(text, F.lit("&lt;|"), F.lit("<|")), F.lit("&#124;"), F.lit("|"))
+    return F.replace(bars, F.lit("&amp;"), F.lit("&"))
 
 
 def escaped_role(role: Column) -> Column:
@@ -48,8 +55,9 @@ def _visited(part: Column, index: Column) -> Column:
     """One part as (piece, attachment): what it leaves in the text, and null or what stands behind its placeholder."""
     kind = F.coalesce(part["kind"], F.lit("text"))
     tokens = F.coalesce(part["tokens"], *[F.when(kind == k, F.lit(n)) for k, n in EXPANDED.items()], F.lit(0))
+    text = F.coalesce(part["text"], F.lit(""))
     return F.struct(
-        F.when(kind == "text", escaped(F.coalesce(part["text"], F.lit(""))))
+        F.when(kind == "text", F.when(index == 0, escaped(text)).otherwise(escaped_after(text)))
         .otherwise(F.concat(F.lit("<|"), escaped_role(kind), F.lit(":"), index.cast("string"), F.lit("|>")))
         .alias("piece"),
         F.when(
@@ -88,7 +96,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
             "inside": F.char_length("content").cast("long"),
         }
     )
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "line")
+    # Ties go by what turns say, not by how that is escaped.
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", unescaped(F.col("content")), "line")
     turns = turns.withColumns(
         {
             "place": F.row_number().over(order),
@@ -146,6 +155,35 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(lines, turn)
 
 
+def content_pieces(content: Column) -> Column:
+    """The pieces (kind, text) of a turn's escaped content, in order: placeholders by their kind, everything else as text.
+
+    What was typed is escaped and never begins with ``<|``, so that text which looks like a placeholder is text here. ``turn_contents`` gives
+    such contents.
+    """
+    pieces = F.filter(F.split(content, r"(?=<\|)|(?<=<\|[^|<]{1,200}\|>)"), lambda p: p != "")
+    mark = r"^<\|([^|<]+):[0-9]+\|>$"
+
+    def piece(p: Column) -> Column:
+        kind = F.regexp_extract(p, mark, 1)
+        return F.struct(
+            F.when(kind != "", unescaped_role(kind)).otherwise(F.lit("text")).alias("kind"), unescaped(p).alias("text")
+        )
+
+    return F.transform(pieces, piece)
+
+
+def turn_contents(formatted: Column) -> Column:
+    """The contents of a formatted conversation's turns, still escaped."""
+    lines = F.slice(F.split(formatted, r"<\|im_start\|>"), 2, 1_000_000_000)
+
+    def content(line: Column) -> Column:
+        size = F.char_length(F.substring_index(line, "\n", 1))
+        return F.substring(line, size + 2, F.char_length(line) - size - 1 - (len(END) + 1))
+
+    return F.transform(lines, content)
+
+
 def masked_texts(formatted: Column, spans: Column) -> Column:
     """The unescaped texts under the loss mask, in order."""
     return F.transform(spans, lambda s: unescaped(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))))
