@@ -50,12 +50,13 @@ def unpack_places(docs: bytes, sizes: bytes, gaps: bytes) -> tuple[np.ndarray, n
 
 
 class Words:
-    """The words of some documents, one after the other, in order of (doc_id, text)."""
+    """The words of some documents, one after the other, in order of (doc_id, text); null ids come first."""
 
     def __init__(self, rows: list[tuple], keep: bool = False):
-        rows = sorted(((_NULL_ID if i is None else i, t or b"") for i, t in rows))
-        split = [words_of(t) for _, t in rows]
-        self.ids = np.array([i for i, _ in rows], np.int64)
+        rows = sorted((_NULL_ID if i is None else i, i is not None, t or b"") for i, t in rows)
+        split = [words_of(t) for *_, t in rows]
+        self.ids = np.array([i for i, *_ in rows], np.int64)
+        self.named = [named for _, named, _ in rows]  # the least long is an id too
         self.sizes = np.fromiter(map(len, split), np.int64, len(split))
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.split = split if keep else None
@@ -289,7 +290,7 @@ def _cut(window: int):
             edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
             spans = [{"start": int(s), "length": int(e - s)} for s, e in zip(edges[::2], edges[1::2])]
             kept = own if not spans else [w for w, g in zip(own, mask.tolist()) if not g]
-            doc_id = None if words.ids[i] == _NULL_ID else int(words.ids[i])
+            doc_id = int(words.ids[i]) if words.named[i] else None
             out.append((doc_id, len(own), int(mask.sum()), spans, b" ".join(kept)))
         columns = list(zip(*out)) if out else [()] * 5
         arrays = [pa.array(c, f.type) for c, f in zip(columns[:4], _RESULT)]

@@ -16,7 +16,7 @@ def words(text):
 def brute(rows, window=20):
     """For rows (doc_id, text): the words, and which of them go."""
     seen, out = set(), []
-    for doc_id, text in sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], (r[1] or "").encode())):
+    for doc_id, text in sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], r[0] is not None, (r[1] or "").encode())):
         own = words(text)
         gone = [False] * len(own)
         for i in range(len(own) - window + 1):
@@ -65,6 +65,7 @@ def test_edges(docs):
     rows = [
         (None, long), (5, None), (6, ""), (7, " \t\n"), (8, "a " * 100), (9, "a " * 19), (9, "a " * 19),
         (11, long), (11, long), (11, long + " tail"), (12, " ".join(["n"] * 30)), (13, long.upper()), (-3, "b " * 21),
+        (-(1 << 63), "least " * 30), (-(1 << 63), long),
     ]
     assert ours(docs(rows)) == order(brute(rows))
 
