@@ -96,6 +96,7 @@ def mixed_sources(
     block: int = BLOCK,
     seed: int = 0,
     shard_rows: int = SHARD_ROWS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """How many words of each document a mix of the sources takes.
 
@@ -105,7 +106,7 @@ def mixed_sources(
     shard the documents stand in a seeded order and are divided into blocks of ``block`` words, the last one shorter. Its quota is
     met by whole repeats of the shard and the first blocks of that order, so that a document may be taken in part. None is
     taken more than ``most`` times. A source's words differ from its target by rounding to blocks and by short blocks
-    at the end of its shards.
+    at the end of its shards. Columns of ``docs`` named in ``carry`` come along; they should be narrow.
 
     A null text has size 0, a null source is a source of its own. Repeated rows are rows of their own, ordered by
     text where ids agree. A null doc_id is allowed. Empty tables give no rows. Other columns are not read. Reruns agree, since
@@ -120,6 +121,7 @@ def mixed_sources(
         F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("key"),  # differs for null and any text
         word_count(text).alias("size"),
         row_draw(F.col("doc_id"), text, seed).alias("draw"),
+        *carry,
     )
     rows = stored(rows, "mix-sizes")  # without the texts, which are read once
     totals = rows.groupBy("key", "source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -159,4 +161,5 @@ def mixed_sources(
         (F.col("repeats") * F.col("size") + chosen).alias("taken"),
         F.col("repeats").alias("times"),
         "draw",
+        *carry,
     )
