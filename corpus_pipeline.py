@@ -7,10 +7,11 @@ the next stage's documents. All but the last return the columns of documents, wh
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import MapType
 
 from newsatlas.llm.common import stored, table
 from newsatlas.llm.exact_dedup import exact_groups
-from newsatlas.llm.mixing import mixed_sources, row_draw
+from newsatlas.llm.mixing import mixed_sources
 from newsatlas.llm.ngram_join import jaccard_groups
 from newsatlas.llm.packing import packed
 from newsatlas.llm.quality import quality_scores
@@ -56,10 +57,22 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; of one taken in part, its first words, joined by spaces.
 
-    Documents without words are taken no time. If there is a column n_chars, it is right for what is left.
+    Documents without words are taken no time. If there is a column n_chars, it is right for what is left. Rows that are equal in all columns are
+    taken together, as often as the mix takes all of them.
     """
-    takes = mixed_sources(docs).select("draw", "size", "taken").filter("taken > 0").distinct()
-    rows = docs.select(F.struct("*").alias("row"), row_draw(F.col("doc_id"), F.col("text")).alias("draw"))
+    names = {f"_name_{i}": _row_hash(docs, i) for i in (1, 2)}
+    named = docs.withColumns(names)
+    takes = mixed_sources(named, carry=tuple(names)).filter("taken > 0").groupBy(*names)
+    takes = takes.agg(F.sum("taken").alias("taken"), F.first("size").alias("size"))
+    # Of a name, how many rows there are: those that aren't taken count too.
+    takes = takes.join(named.groupBy(*names).agg(F.count("*").alias("rows")), list(names))
+    rows = named.select(F.struct(*docs.columns).alias("row"), *names).join(takes, list(names))
+    once = rows.filter("rows = 1").select("row", "size", "taken")
+    # Equal rows become one, and its takes are dealt out in portions, so that no task makes very many copies.
+    again = rows.filter("rows > 1").groupBy(*names).agg(F.first("row").alias("row"), F.first("size").alias("size"), F.first("taken").alias("taken"))
+    portion = F.col("size") * 1000
+    again = again.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / portion).cast("long"))))
+    again = again.repartition(*names, "from").select("row", "size", F.least(portion, F.col("taken") - F.col("from") * portion).alias("taken"))
     part = F.col("taken") % F.col("size")
     copies = F.concat(
         F.array_repeat("size", (F.col("taken") / F.col("size")).cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<long>"))
@@ -67,7 +80,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     words = F.regexp_extract_all("row.text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
     cut = F.array_join(F.slice(words, 1, F.col("words").cast("int")), " ")
     whole = F.col("words") == F.col("size")
-    rows = rows.join(takes, "draw").select("row", "size", F.explode(copies).alias("words"))
+    rows = once.unionByName(again).select("row", "size", F.explode(copies).alias("words"))
     row = F.col("row").withField("text", F.when(whole, F.col("row.text")).otherwise(cut))
     rows = rows.select(row.alias("row"), whole.alias("whole"))
     if "n_chars" in docs.columns:
@@ -76,6 +89,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.select("row.*")
 
 
+def _row_hash(docs: DataFrame, seed: int):
+    """A hash of all columns, nulls told apart by their places; two of them name a row."""
+    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
+    return F.xxhash64(F.lit(seed), *columns, *[c.isNull() for c in columns])
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens."""
     return packed(docs, tokenizer_path())
