@@ -130,3 +130,20 @@ def test_packing_check_is_used(docs):
     texts = {1: "a b", 2: "c"}
     rows = [r.asDict() for r in packed(docs(list(texts.items())), tokenizer_path()).collect()]
     assert check_packing(rows, texts, Tokenizer.from_file(tokenizer_path())) == 1
+
+
+def test_mix_takes_repeated_rows_as_often_as_all_of_them(spark, sf_dir):
+    """Equal rows with different takes: the words that come out are those that were taken, not more."""
+    from newsatlas.llm.mixing import mixed_sources
+
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = [(1, text, None, "a")] * 5 + [(2, "one two three " * 40, "en", "b"), (3, "x", "en", None), (4, "x", None, "en"), (1, text, "en", "a")]
+    wide = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    taken = {}
+    for r in mixed_sources(wide).collect():
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["taken"]
+    out = {}
+    for r in corpus_pipeline.mix(spark, wide, sf_dir).collect():
+        assert (r["doc_id"], r["lang"], r["source"]) in {(d, n, s) for d, _, n, s in rows}
+        out[r["doc_id"]] = out.get(r["doc_id"], 0) + len(r["text"].split())
+    assert out == {d: n for d, n in taken.items() if n} and any(n % 200 for n in taken.values())
