@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, stored
+from .common import chunks, ship, stored
 
 LENGTH = 2048
 OPEN_BINS = 256
-CACHED_WORDS = 120_000
+CACHED_WORDS = 300_000
+#: New words of letters that the tokenizer gets as one text.
+WORDS_TOGETHER = 1024
 #: Sequence numbers of a task start at its number times this.
 PER_TASK = 1 << 33
 #: Tasks whose unfilled bins are packed again together.
@@ -92,11 +94,15 @@ class WordIds:
     """Token ids, as little-endian 32-bit numbers, of a text by its words.
 
     This is right for tokenizers that lower-case, drop ASCII white space and never join across it, nor letters and marks, as
-    the word-end BPE does; a text is then the sequence of its words' ids. Words are cached, within a bound.
+    the word-end BPE does; a text is then the sequence of its words' ids. Words are cached, within a bound. New words of letters only are
+    given to the tokenizer many at once: each ends at its first token that ends a run of letters.
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
         self.tokenizer, self.most, self.known, self.older = _tokenizer(path), most, {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a run of letters
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def learn(self, words: set[bytes]) -> None:
         """Have the ids of all these words. Of the others, those not met for long are forgotten."""
@@ -109,9 +115,25 @@ class WordIds:
                     known[w] = older[w]
                 else:
                     new.append(w)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, encoded in zip(new, found):
-            known[word] = array("I", encoded.ids).tobytes()
+        texts = [w.decode() for w in new]
+        letters = [i for i, t in enumerate(texts) if t.isalpha()]
+        others = [i for i, t in enumerate(texts) if not t.isalpha()]
+        for start in range(0, len(letters), WORDS_TOGETHER):
+            some = letters[start : start + WORDS_TOGETHER]
+            ids = np.array(self._encoded([" ".join([texts[i] for i in some])])[0].ids, "<u4")
+            cuts = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(cuts) != len(some):  # a word of them isn't one run of letters once it is normalised
+                others += some
+                continue
+            packed_ids, at = ids.tobytes(), 0
+            for i, end in zip(some, cuts):
+                known[new[i]] = packed_ids[at:end]
+                at = end
+        for i, encoded in zip(others, self._encoded([texts[i] for i in others])):
+            known[new[i]] = array("I", encoded.ids).tobytes()
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def rows(self, rows: list[tuple]) -> list[tuple]:
         """Rows (doc_id, text) with the text's ids in its place."""
@@ -199,6 +221,7 @@ def packed(
     null. An empty table gives no rows. Other columns are not read. A document's tokens are held in memory
     one document at a time. The tokenizer must treat words apart (see ``WordIds``).
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.mapInArrow(_pack_task(tokenizer_path, length, open_bins, end_id), _PIECES)
     both = stored(rows, "pieces")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from newsatlas.llm.packing import OpenBins, packed
+from newsatlas.llm.packing import OpenBins, WordIds, packed
 from newsatlas.llm.queries import tokenizer_path
 
 
@@ -76,3 +76,13 @@ def test_best_fit_and_closing():
     assert bins.put(8) == (3, 0)  # a third open bin: the fullest, of 9, closes first
     assert bins.put(1) == (3, 8)
     assert bins.put(4) == (0, 6)
+
+
+def test_words_learnt_together_have_the_ids_they_have_alone(tokenizer):
+    rng = np.random.default_rng(3)
+    letters = list("abcxyzéßñΣςİıǅﬁ한가日ℌ̈́")
+    words = {"".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(4000)} | {"ΑΣ", "İ", "don't", "x1", "é"}
+    known = WordIds(tokenizer_path())
+    known.learn({w.encode() for w in words})
+    for w in words:
+        assert np.frombuffer(known.known[w.encode()], "<u4").tolist() == tokenizer.encode(w, add_special_tokens=False).ids, w
