@@ -222,9 +222,10 @@ NEWEST = """newest AS (
 
 TONED_DAYS = """SQLDATE IS NOT NULL AND ActionGeo_CountryCode IS NOT NULL AND AvgTone IS NOT NULL"""
 
-# Daily averages have two decimals: their moving average is taken of whole hundredths.
-_SMOOTH = """cast(round(cast(sum(cast(round(tono_promedio_dia * 100) AS bigint)) OVER (w ROWS 6 PRECEDING) AS decimal(38,12))
-    / (100 * count(*) OVER (w ROWS 6 PRECEDING)), 2) AS double)"""
+# Daily averages have two decimals: their moving average is taken of whole hundredths, and rounded half away from zero.
+_CENTS = "cast(sum(cast(round(tono_promedio_dia * 100) AS bigint)) OVER (w ROWS 6 PRECEDING) AS bigint)"
+_DAYS = "count(*) OVER (w ROWS 6 PRECEDING)"
+_SMOOTH = f"cast(sign({_CENTS}) * ((2 * abs({_CENTS}) + {_DAYS}) // (2 * {_DAYS})) AS double) / 100"
 
 FIRST_HOUR = """valid AS (
     SELECT *, min(ts) OVER (PARTITION BY GLOBALEVENTID) AS first FROM (
