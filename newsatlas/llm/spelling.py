@@ -24,7 +24,7 @@ _LETTERS = bytes([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)])
 _PLAIN = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _LETTERS else 32 for b in range(256))
 #: What a word can hold after A-Z were lower-cased.
 ALPHABET = np.frombuffer(bytes(sorted(set(_PLAIN) - {32})), np.uint8)
-#: A part of a filter has so many blocks of 512 bits; a word sets ``_BITS`` bits of one block.
+#: A part of a filter has at most so many blocks of 512 bits, fewer where a length has few words; a word sets ``_BITS`` bits of one block.
 PART_BLOCKS, _BITS, WORDS_A_BLOCK = 1 << 14, 8, 24
 #: Bytes of filters that are broadcast at once.
 MOST_BYTES = 64 << 20
@@ -112,31 +112,39 @@ def part_of(h: np.ndarray, parts: int) -> np.ndarray:
     return ((mixed(h) >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
 
 
-def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def blocks_for(words: int, parts: int) -> int:
+    """The blocks of each part of a filter of so many words."""
+    return min(PART_BLOCKS, 1 << max(0, (-(-words // (parts * WORDS_A_BLOCK)) - 1).bit_length()))
+
+
+def _bits(h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """The block of each hash, and the ``_BITS`` numbers below 512 of its bits."""
     a, b = mixed(h + np.uint64(0x9E37)), mixed(h ^ np.uint64(0xB5297A4D3F84D5B5))
-    block = (a >> np.uint64(40)).astype(np.int64) % PART_BLOCKS
+    block = (a >> np.uint64(40)).astype(np.int64) % blocks
     shifts = np.arange(0, 54, 9, dtype=np.uint64)  # six numbers of nine bits each from b, the others from a
     low = np.concatenate([b[..., None] >> shifts, a[..., None] >> shifts[: _BITS - 6]], axis=-1)
     return block, (low & np.uint64(511)).astype(np.int64)
 
 
-def filter_of(h: np.ndarray) -> np.ndarray:
+def filter_of(h: np.ndarray, blocks: int) -> np.ndarray:
     """The bits of one part, as 64-bit words, eight a block."""
-    out = np.zeros(PART_BLOCKS * 8, np.uint64)
-    block, bits = _bits(h)
+    out = np.zeros(blocks * 8, np.uint64)
+    block, bits = _bits(h, blocks)
     np.bitwise_or.at(out, (block[:, None] * 8 + (bits >> 6)).ravel(), np.uint64(1) << (bits & 63).astype(np.uint64).ravel())
     return out
 
 
 class Filters:
-    """Bloom filters of some parts, by word length; parts that are left out admit nothing."""
+    """Bloom filters of some parts, by word length; parts that are left out admit nothing.
+
+    ``shapes`` has the number of parts, and of blocks in each, of every length.
+    """
 
-    def __init__(self, parts: dict[int, int], held: dict[tuple[int, int], bytes]):
-        self.parts, self.held, self.table = parts, held, None
+    def __init__(self, shapes: dict[int, tuple[int, int]], held: dict[tuple[int, int], bytes]):
+        self.shapes, self.held, self.table = shapes, held, None
 
     def __getstate__(self):
-        return self.parts, self.held
+        return self.shapes, self.held
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -148,8 +156,9 @@ class Filters:
             self.table = {}
             for n in {k[0] for k in keys}:
                 own = [k for k in keys if k[0] == n]
-                begin = np.full(self.parts[n], -1, np.int64)
-                begin[[p for _, p in own]] = np.arange(len(own)) * PART_BLOCKS * 8
+                parts, blocks = self.shapes[n]
+                begin = np.full(parts, -1, np.int64)
+                begin[[p for _, p in own]] = np.arange(len(own)) * blocks * 8
                 self.table[n] = begin, np.concatenate([np.frombuffer(zlib.decompress(self.held[k]), np.uint64) for k in own])
         return self.table.get(length)
 
@@ -161,7 +170,7 @@ class Filters:
         begin, bits_of = own
         at = begin[part_of(h, len(begin))] if len(begin) > 1 else np.full(len(h), begin[0])
         left = np.flatnonzero(at >= 0)
-        block, bits = _bits(h[left])
+        block, bits = _bits(h[left], self.shapes[length][1])
         word = at[left] + block * 8
         for k in range(_BITS):  # most hashes are out after a bit or two
             hit = (bits_of[word + (bits[:, k] >> 6)] >> (bits[:, k] & 63).astype(np.uint64)) & np.uint64(1) != 0
@@ -216,7 +225,7 @@ def _latin(column: pa.Array) -> list[bytes]:
     return [w.encode("latin-1") for w in column.to_pylist()]
 
 
-def _placed(parts: dict[int, int]):
+def _placed(shapes: dict[int, tuple[int, int]]):
     """Length, part and hash of each word."""
 
     def run(batches):
@@ -226,7 +235,7 @@ def _placed(parts: dict[int, int]):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "length": pa.array(np.full(len(h), length), pa.int32()),
-                        "part": pa.array(part_of(h, parts[length]), pa.int32()),
+                        "part": pa.array(part_of(h, shapes[length][0]), pa.int32()),
                         "h": pa.array(h.view(np.int64)),
                         "letters": pa.array([_letters_of(m)] * len(h), pa.binary()),
                     }
@@ -239,17 +248,23 @@ def _letters_of(m: np.ndarray) -> bytes:
     return np.unique(m).tobytes()
 
 
-def _built(table: pa.Table) -> pa.Table:
-    h = table.column("h").to_numpy().view(np.uint64)
-    letters = b"".join(table.column("letters").unique().to_pylist())
-    return pa.table(
-        {
-            "length": table.column("length").slice(0, 1),
-            "part": table.column("part").slice(0, 1),
-            "bits": pa.array([zlib.compress(filter_of(h).tobytes(), 1)], pa.binary()),
-            "letters": pa.array([bytes(sorted(set(letters)))], pa.binary()),
-        }
-    )
+def _built(shapes: dict[int, tuple[int, int]]):
+    """The filter of one part, which has a bounded number of words."""
+
+    def run(table: pa.Table) -> pa.Table:
+        h = table.column("h").to_numpy().view(np.uint64)
+        letters = b"".join(table.column("letters").unique().to_pylist())
+        bits = filter_of(h, shapes[table.column("length")[0].as_py()][1])
+        return pa.table(
+            {
+                "length": table.column("length").slice(0, 1),
+                "part": table.column("part").slice(0, 1),
+                "bits": pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary()),
+                "letters": pa.array([bytes(sorted(set(letters)))], pa.binary()),
+            }
+        )
+
+    return run
 
 
 def _probe(filters, alphabet: np.ndarray):
@@ -285,17 +300,18 @@ def near_words(words: DataFrame, most_bytes: int = MOST_BYTES, part_words: int |
     sizes = {r[0]: r[1] for r in words.groupBy(F.char_length("word").alias("length")).agg(F.count("*").alias("n")).collect()}
     part_words = part_words or PART_BLOCKS * WORDS_A_BLOCK
     parts = {length: max(1, -(-n // part_words)) for length, n in sizes.items()}
-    placed = words.select("word").mapInArrow(_placed(parts), "length int, part int, h long, letters binary")
-    built = placed.groupBy("length", "part").applyInArrow(_built, "length int, part int, bits binary, letters binary")
+    shapes = {length: (parts[length], blocks_for(n, parts[length])) for length, n in sizes.items()}
+    placed = words.select("word").mapInArrow(_placed(shapes), "length int, part int, h long, letters binary")
+    built = placed.groupBy("length", "part").applyInArrow(_built(shapes), "length int, part int, bits binary, letters binary")
     built = stored(built, "filters")
     alphabet = built.agg(F.collect_set("letters")).first()[0]
     alphabet = np.frombuffer(bytes(sorted(set(b"".join(bytes(a) for a in alphabet)))), np.uint8)
-    passes = -(-sum(parts.values()) * PART_BLOCKS * 64 // most_bytes) or 1
+    passes = -(-sum(p * blocks * 64 for p, blocks in shapes.values()) // most_bytes) or 1
     group = F.pmod(F.xxhash64("length", "part"), F.lit(passes))
     edits = None
     for i in range(passes):
         held = {(r.length, r.part): bytes(r.bits) for r in built.filter(group == i).drop("letters").toLocalIterator()}
-        filters = spark.sparkContext.broadcast(Filters(parts, held))
+        filters = spark.sparkContext.broadcast(Filters(shapes, held))
         found = words.select("word", "n").mapInArrow(_probe(filters, alphabet), "edit string, word string, n long")
         edits = found if edits is None else edits.union(found)
     exact = words.select(F.col("word").alias("edit"), F.col("n").alias("edit_n"))

@@ -78,7 +78,7 @@ def test_whole_table(result, documents):
     assert len(rows) == len(expected) and any(v[1] for v in expected.values())
 
 
-@pytest.mark.parametrize("bounds", [{}, {"part_words": 100}, {"part_words": 50, "most_bytes": 4 << 20}])
+@pytest.mark.parametrize("bounds", [{}, {"part_words": 100}, {"part_words": 50, "most_bytes": 600}])
 def test_made_words(table, bounds):
     words = made(random.Random(7), 1200)
     expected = brute(words)
@@ -121,7 +121,9 @@ def test_filters_admit_all_words():
     words = np.unique(rng.choice(spelling.ALPHABET, (20_000, 8)), axis=0)
     h = spelling.word_sums(words)
     parts = spelling.part_of(h, 3)
-    held = spelling.Filters({8: 3}, {(8, p): spelling.zlib.compress(spelling.filter_of(h[parts == p]).tobytes()) for p in range(3)})
+    blocks = spelling.blocks_for(len(h), 3)
+    assert blocks == 512 and spelling.blocks_for(1, 1) == 1 and spelling.blocks_for(10**9, 1) == spelling.PART_BLOCKS
+    held = spelling.Filters({8: (3, blocks)}, {(8, p): spelling.zlib.compress(spelling.filter_of(h[parts == p], blocks).tobytes()) for p in range(3)})
     assert held.admits(8, h).tolist() == list(range(len(h)))
     other = spelling.word_sums(rng.choice(spelling.ALPHABET, (200_000, 8)))
     assert len(held.admits(8, other)) < 200
