@@ -116,9 +116,8 @@ def positive_events_by_country(feed: Feed, top: int = 10) -> DataFrame:
     """Most covered cooperative events of each country; all text.
 
     The best events of each country are found on narrow rows, one per country and event, by their counts and best row:
-    ``top`` of them rule out every row of any other event. Only then are the wide rows looked up. The keys of regular
-    country codes travel to them, since these number at most 26 * 26 * ``top``; rows of other codes are joined as Spark
-    sees fit. Each task keeps the ``top`` best rows of an event id, so that a repeated id or copied row stays small.
+    ``top`` of them rule out every row of any other event. These few keys, with their counts, then meet the wide rows. How they are joined is left to
+    Spark, which sees the size of the keys once they are there. Ranking trims a country's rows to ``top`` in every task, copies of an event among them.
     """
     positive = feed.events.filter(
         F.col(COUNTRY).isNotNull()
@@ -144,15 +143,7 @@ def positive_events_by_country(feed: Feed, top: int = 10) -> DataFrame:
         F.desc("best.NumMentions"), F.desc("best.GoldsteinScale"), F.col(EVENT),
     ]
     keys = top_n_per_group(covered, ["pais"], key_order, top, "key_place").drop("key_place", "best")
-    regular = F.col("pais").rlike("^[A-Z]{2}$")
-    chosen = keys.filter(regular).select("pais", EVENT, F.lit(True).alias("chosen"))
-    looked_up = positive.join(F.broadcast(chosen), ["pais", EVENT], "left").filter(~regular | F.col("chosen"))
-    within_event = [
-        F.desc("NumMentions"), F.desc("GoldsteinScale"),
-        F.desc("day"), F.col("EventCode"), F.col("SOURCEURL"),
-    ]
-    best = top_n_per_group(looked_up, ["pais", EVENT], within_event, top, "place")
-    joined = best.join(keys, ["pais", EVENT])
+    joined = positive.join(keys, ["pais", EVENT])
     order = [
         F.desc("mentions"), F.desc("sources"), F.desc("NumMentions"), F.desc("GoldsteinScale"),
         F.col(EVENT), F.desc("day"), F.col("EventCode"), F.col("SOURCEURL"),
