@@ -46,3 +46,31 @@ def test_separated_classes(spark):
     assert np.mean(right) > 0.98
     x = np.array([r[1] for r in rows if r[2]])
     assert np.allclose(model.means[1] * model.scale + model.centre, x.mean(axis=0))
+
+
+def test_scores_equal_brute_force(result, documents, duck):
+    """Every document's posterior, from covariances by definition and densities by a solver instead of factors."""
+    from newsatlas.llm.quality import SHRINK_TO_DIAGONAL, SHRINK_TO_POOLED
+
+    quality = dict(duck.execute("SELECT doc_id, min(quality) FROM labels WHERE quality IN (0, 1) GROUP BY doc_id").fetchall())
+    x = {d: np.array(statistics((t or "").encode() if t is not None else None)) for d, t, *_ in documents}
+    learnt = [d for d in x if d in quality and zlib.crc32(str(d).encode()) % 5 != 0]
+    own = [np.array([x[d] for d in learnt if quality[d] == c]) for c in (0, 1)]
+    assert min(map(len, own)) > 3
+    everything = np.concatenate(own)
+    centre, scale = everything.mean(axis=0), np.sqrt(np.maximum(everything.var(axis=0), 1e-6))
+    own = [(o - centre) / scale for o in own]
+    spread = [np.cov(o.T, bias=True) for o in own]
+    common = sum(len(o) * s for o, s in zip(own, spread)) / len(everything)
+    common = (1 - SHRINK_TO_DIAGONAL) * common + SHRINK_TO_DIAGONAL * np.diag(np.diag(common)) + 0.01 * np.eye(len(FEATURES))
+    spread = [(1 - SHRINK_TO_POOLED) * s + SHRINK_TO_POOLED * common + 1e-6 * np.eye(len(FEATURES)) for s in spread]
+
+    def density(z, c):
+        d = z - own[c].mean(axis=0)
+        prior = np.log((len(own[c]) + 1) / (len(everything) + 2))
+        return prior - 0.5 * np.linalg.slogdet(spread[c])[1] - 0.5 * d @ np.linalg.solve(spread[c], d)
+
+    for r in result("op7_quality"):
+        z = (x[r["doc_id"]] - centre) / scale
+        expected = 1 / (1 + np.exp(np.clip(density(z, 0) - density(z, 1), -700, 700)))
+        assert np.isclose(r["score"], expected, atol=1e-6)
