@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsatlas import Feed, schemas, sources, streaming
 from newsatlas.functions import feed_timestamp
+from newsatlas.plans import find
 from newsatlas.plans.bursts import breaking_news, mention_escalation_24h
 
 START = datetime(2024, 1, 1)
@@ -221,3 +222,53 @@ def test_a_stamp_in_the_future_moves_nothing(arrive, drain):
     moments = arrive("mentions", days).withColumn("moment", F.to_timestamp(F.col("MentionTimeDate").cast("string"), "yyyyMMddHHmmss"))
     got = {r.slice.isoformat(): r.n for r in drain(streaming.slice_counts(moments, "moment", []), "future").collect()}
     assert got["2024-01-01T00:00:00"] == 3
+
+
+def _forget_commits(checkpoint, batch=0):
+    """As if the stream had ended before it noted its batch."""
+    for path in glob.glob(f"{checkpoint}/commits/{batch}") + glob.glob(f"{checkpoint}/commits/.{batch}.crc"):
+        os.remove(path)
+
+
+def test_a_batch_that_was_cut_short_is_completed_by_the_next_start(spark, tmp_path, monkeypatch):
+    """One of its three days was published when the stream ended; the others follow, and nothing comes twice."""
+    from newsatlas.sources import landing
+
+    landing_, root, check = (f"{tmp_path}/{d}" for d in ("land", "tables", "check"))
+    _land(landing_, "events", "a", [{"GLOBALEVENTID": n, "SQLDATE": 20240101 + n % 3} for n in range(30)])
+    publish, days = landing._publish, []
+
+    def cut_short(session, staged, table, day, *rest):
+        if days:
+            raise OSError("lost")
+        days.append(day)
+        publish(session, staged, table, day, *rest)
+
+    monkeypatch.setattr(landing, "_publish", cut_short)
+    with pytest.raises(Exception, match="lost"):
+        streaming.ingest(spark, landing_, root, "events", check).awaitTermination()
+    assert spark.read.parquet(f"{root}/events").count() == 10
+    monkeypatch.setattr(landing, "_publish", publish)
+    for _ in range(2):
+        streaming.ingest(spark, landing_, root, "events", check).awaitTermination()
+        _forget_commits(f"{check}/ingest_events")
+    rows = spark.read.schema(schemas.EVENTS).parquet(f"{root}/events").select("GLOBALEVENTID").collect()
+    assert sorted(r[0] for r in rows) == list(range(30))
+
+
+def test_a_repeated_refresh_counts_nothing_twice(spark, make, tmp_path):
+    events = [{"GLOBALEVENTID": n % 7, "SQLDATE": 20240101, "ActionGeo_CountryCode": "US", "NumMentions": 2, "AvgTone": 1.5} for n in range(9)]
+    for table, rows in (("events", events), ("mentions", []), ("gkg", [])):
+        make(table, *rows).coalesce(1).write.parquet(f"{tmp_path}/{table}")
+
+    def cycle():
+        feed = Feed(**{t: spark.readStream.schema(s).parquet(f"{tmp_path}/{t}") for t, s in schemas.TABLES.items()})
+        names = ["top_countries_by_day", "sentiment_trend"]
+        streaming.refresh_increments(feed, f"{tmp_path}/states", f"{tmp_path}/history", f"{tmp_path}/check", analyses=names).awaitTermination()
+
+    cycle()
+    _forget_commits(f"{tmp_path}/check/refresh_increments")
+    cycle()
+    for name, columns in (("top_countries_by_day", ("total_eventos", "total_menciones")), ("sentiment_trend", ("total_eventos",))):
+        stored = sources.read_results(spark, f"{tmp_path}/history", find(name).result)
+        assert [tuple(r) for r in stored.select(*columns).collect()] == [(7, 18)[: len(columns)]] * 2
