@@ -17,9 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, mixed, partitions, rolled, word_hashes, words_of
+from .common import chunks, mixed, partitions, rolled, ship, word_hashes, words_of
 
 WINDOW = 20
+#: Bytes of text in a share, about.
+SHARE_BYTES = 64 << 20
 _NULL_ID = np.iinfo(np.int64).min  # stands for a null doc_id, before all others
 
 
@@ -310,13 +312,18 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, shares: int | None =
     their texts, so that of rows that are wholly equal one keeps its words. Other columns are not read; an empty table gives
     no rows. Runs are compared by 64-bit hashes and, through the share they are sent to, by some bits of a second one.
 
-    ``shares`` (by default twice ``spark.sql.shuffle.partitions``) divides hashes and documents; a task holds one share at a time,
-    so it should grow with the data.
+    ``shares`` divides hashes and documents; a task holds one share at a time. By default there is one for each ``SHARE_BYTES`` of text, which is
+    measured first, and twice ``spark.sql.shuffle.partitions`` at least. A very long text is held whole, with 40 bytes for each of its words, by the
+    task of its share.
     """
     if window % 2:
         raise ValueError("the window must be even: a block is half of it")
-    shares, block = shares or 2 * partitions(docs.sparkSession), window // 2
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    block = window // 2
+    if not shares:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shares = max(2 * partitions(docs.sparkSession), -(-size // SHARE_BYTES))
     hits = (
         rows.mapInArrow(_probe(block, shares), _PARCEL)
         .repartition(shares, "share")

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+from newsatlas.llm import substring
 from newsatlas.llm.substring import doc_share, pack_places, unpack_places, without_repeats
 
 import numpy as np
@@ -80,6 +81,13 @@ def test_other_window(docs):
     assert ours(docs(rows), window=4) == order(brute(rows, 4))
 
 
+def test_shares_grow_with_the_text(docs, monkeypatch):
+    monkeypatch.setattr(substring, "SHARE_BYTES", 200)
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices("ab", k=rng.randint(0, 60)))) for i in range(60)]
+    assert ours(docs(rows)) == order(brute(rows))
+
+
 def test_empty_table(docs):
     assert ours(docs([])) == []
 
