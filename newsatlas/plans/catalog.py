@@ -178,13 +178,17 @@ INCREMENTAL = {
     "conflict_heatmap": conflict.HEATMAP,
     "top_countries_by_day": coverage.TOP_COUNTRIES,
     "tone_source_correlation": tone.TONE_SOURCES,
+    "cameo_by_region": actors.CAMEO,
+    "actor_type_matrix": actors.ACTOR_TYPES,
     "sentiment_trend": tone.TREND,
     "conflict_country_pairs": conflict.CONFLICT_PAIRS,
     "religion_conflicts": conflict.RELIGIONS,
+    "organizations_by_day": knowledge.ORGANIZATIONS,
     "tone_conflict_lag": tone.TONE_LAG,
     "diplomacy_conflict_graph": conflict.GRAPH,
     "source_diversity": coverage.DIVERSITY,
     "ethnic_conflicts": conflict.ETHNICITIES,
+    "negative_actors": actors.NEGATIVE,
 }
 
 _BY_NAME = {key: a for a in ANALYSES for key in (a.name, a.result)}

@@ -15,6 +15,7 @@ from newsatlas.functions import (
     region_of,
 )
 from newsatlas.operators import explode_delimited, top_n_per_group
+from newsatlas.plans.partials import DISTINCT, Part, whole
 
 RECORD = "GKGRECORDID"
 
@@ -80,23 +81,29 @@ def themes_by_region_year(feed: Feed, top: int = 20) -> DataFrame:
     )
 
 
-def organizations_by_day(feed: Feed, top: int = 20) -> DataFrame:
-    """Organisations named in the most documents, day by day."""
+def _named_organizations(feed: Feed) -> DataFrame:
     named = explode_delimited(
         feed.gkg, F.col("Organizations"), "item", [RECORD, _document_day().alias("day")]
     )
-    counts = (
-        named.filter(not_blank(F.col("item")))
-        .groupBy("day", F.lower(F.trim("item")).alias("organizacion"))
-        .agg(F.count_distinct(RECORD).alias("total_documentos"))
-        .select(day_text(F.col("day")).alias("fecha"), "organizacion", "total_documentos")
-    )
+    return named.filter(not_blank(F.col("item"))).select("day", F.lower(F.trim("item")).alias("organizacion"), RECORD)
+
+
+def _top_organizations(groups: DataFrame, top: int = 20) -> DataFrame:
+    counts = groups.select(day_text(F.col("day")).alias("fecha"), "organizacion", F.col(DISTINCT).alias("total_documentos"))
     order = [F.desc("total_documentos"), F.col("organizacion")]
     return top_n_per_group(counts, ["fecha"], order, top, "ranking").orderBy(
         F.desc("fecha"), "ranking"
     )
 
 
+ORGANIZATIONS = Part(_named_organizations, ("day", "organizacion"), _top_organizations, counted=RECORD, day="day")
+
+
+def organizations_by_day(feed: Feed, top: int = 20) -> DataFrame:
+    """Organisations named in the most documents, day by day."""
+    return whole(ORGANIZATIONS, feed, top=top)
+
+
 def _document_day() -> Column:
     """Day of a record's date, which has a time of day behind it or not."""
     return feed_date("substr(cast(DATE AS string), 1, 8)")

@@ -90,7 +90,7 @@ def advance(part: Part, name: str, arrived: Feed, states: StateStore, batch: int
     sums = list(part.sums())
     if sketch:
         measures.append(distinct_sketch(F.col(part.counted)).alias(_SKETCH))
-    frames = [rows.groupBy(*part.keys).agg(*measures)] if measures else []
+    frames = [rows.groupBy(*part.keys).agg(*measures) if measures else rows.select(*part.keys).distinct()]
     if part.counted and not approximate:
         sums.append(DISTINCT)
         new = _new_ids(part, rows, states, name, batch)

@@ -32,6 +32,12 @@ def event(rng, n):
         "Actor2Religion2Code": code(["MOS", None]),
         "Actor1EthnicCode": code(["ara", None]),
         "Actor2EthnicCode": code(["kur", "ara", None]),
+        "EventCode": code(["010", "020", None]),
+        "EventRootCode": code(["01", None]),
+        "CAMEOCodeDescription": code(["d", None]),
+        **{f"Actor{a}Type{t}Code": code(["GOV", "MIL", "REB", "BUS", None]) for a in (1, 2) for t in (1, 2, 3)},
+        **{f"Actor{a}Name": code(["A", "B", " ", None]) for a in (1, 2)},
+        **{f"Actor{a}Code": code(["X", None]) for a in (1, 2)},
     }
 
 
@@ -43,10 +49,21 @@ def mention(rng, n):
     }
 
 
+def record(rng, n):
+    return {
+        "GKGRECORDID": rng.choice([f"r{n}", f"r{rng.randrange(20)}", None]),
+        "DATE": rng.choice([20240101120000, 20240102000000, 99999999, None]),
+        "Organizations": rng.choice(["Un Agency;WHO", " who ;x;", "", None]),
+    }
+
+
 @pytest.fixture
 def slices():
     rng = random.Random(5)
-    return [([event(rng, n) for n in range(80)], [mention(rng, n) for n in range(90)]) for _ in range(3)]
+    return [
+        ([event(rng, n) for n in range(80)], [mention(rng, n) for n in range(90)], [record(rng, n) for n in range(50)])
+        for _ in range(3)
+    ]
 
 
 def sorted_rows(frame):
@@ -62,12 +79,12 @@ def step(name, arrived, store, batch, **more):
 @pytest.mark.parametrize("name", list(INCREMENTAL))
 def test_states_equal_batch_analyses(spark, feed, slices, tmp_path, name):
     store = sources.StateStore(spark, f"{tmp_path}/states")
-    events, mentions = [], []
-    for batch, (e, m) in enumerate(slices):
-        events, mentions = events + e, mentions + m
-        arrived = feed(events=e, mentions=m)
+    events, mentions, gkg = [], [], []
+    for batch, (e, m, g) in enumerate(slices):
+        events, mentions, gkg = events + e, mentions + m, gkg + g
+        arrived = feed(events=e, mentions=m, gkg=g)
         result = sorted_rows(step(name, arrived, store, batch))
-        assert result == sorted_rows(find(name).build(feed(events=events, mentions=mentions)))
+        assert result == sorted_rows(find(name).build(feed(events=events, mentions=mentions, gkg=gkg))) != []
         # A repeated batch counts nothing twice.
         assert sorted_rows(step(name, arrived, store, batch)) == result
     empty = feed()
