@@ -793,15 +793,19 @@ for _n in ("stream_escalation_speeds", "stream_first_hours"):
 # --- results brought up to date slice by slice -----------------------------------------------
 
 
+#: Rows that one file of a slice or batch holds, so that many tasks write and read it.
+_FILE_ROWS = 200_000
+
+
 def _in_three_slices(feed: Feed, root: str) -> Feed:
-    """Streams of the tables that arrive in three slices. Rows are dealt by a hash, so that copies of an id come in different ones."""
+    """Streams of the tables that arrive in three slices, each of as many files as its rows need. Rows are dealt in turn, so that copies of an id come in different ones."""
     streams = {}
     for name, schema in schemas.TABLES.items():
         rows = getattr(feed, name).select(schema.names)
-        spark = rows.sparkSession
-        dealt = rows.withColumn("slice", F.pmod(F.xxhash64(*schema.names), F.lit(3)))
-        dealt.repartitionByRange(3, "slice").drop("slice").write.parquet(f"{root}/{name}")
-        streams[name] = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}")
+        files = 1 + rows.count() // (3 * _FILE_ROWS)
+        rows.repartition(3 * files).write.parquet(f"{root}/{name}")
+        reader = rows.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", files)
+        streams[name] = reader.parquet(f"{root}/{name}")
     return Feed(**streams)
 
 
