@@ -22,7 +22,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PIECE_END = "}"
 _KEPT = ["value", "file", "block"]
-_SIGNS = re.compile(rb'[^"{}]+')
 _STRING_OR_BRACE = re.compile(rb'"(?:[^"\\]|\\.)*(?:"|$)|\{', re.DOTALL)
 _WHOLE, _END, _START = 0, 1, 2
 _PARTS = "file string, block long, kind int, record string"
@@ -45,14 +44,16 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     return with_places(spark.read.option("lineSep", PIECE_END).text(path))
 
 
-def _signs(text: bytes) -> list[bytes]:
-    """Only the braces of a text, divided by its quotes; escaped quotes are none."""
-    plain = text.replace(b"\\\\", b"").replace(b'\\"', b"")
-    return _SIGNS.sub(b"", plain).split(b'"')
-
-
-def _balance(signs: Iterable[bytes]) -> int:
-    return sum(s.count(b"{") - s.count(b"}") for s in signs)
+def _signs(piece: bytes) -> tuple[int, int, int]:
+    """The quotes of a piece, and its opening braces after an even and after an odd number of them; escaped quotes are none."""
+    if b"\\" in piece:
+        piece = piece.replace(b"\\\\", b"").replace(b'\\"', b"")
+    first, *others = piece.split(b"{")
+    quotes, opened = first.count(b'"'), [0, 0]
+    for other in others:
+        opened[quotes & 1] += 1
+        quotes += other.count(b'"')
+    return quotes, *opened
 
 
 def _from_first_brace(piece: bytes, text: int) -> bytes:
@@ -74,11 +75,14 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[tuple[str, int], list[int]] = {}
     for text, file, block in _rows(batches):
         now = found.setdefault((file, block), [0, 0, 0])
-        signs = _signs(text + b"}")
-        even, odd = _balance(signs[::2]), _balance(signs[1::2])
+        quotes, even, odd = _signs(text)
+        if quotes & 1:  # so does the brace after the piece count
+            odd -= 1
+        else:
+            even -= 1
         if now[0]:
             even, odd = odd, even
-        now[0] ^= (len(signs) - 1) & 1
+        now[0] ^= quotes & 1
         now[1] += even
         now[2] += odd
     columns = zip(*[(*place, *counts) for place, counts in found.items()]) if found else [()] * 5
@@ -109,11 +113,11 @@ class _Cutter:
 
     def add(self, piece: bytes) -> tuple[int, bytes] | None:
         """A record, or the end of one, that is complete with this piece."""
-        signs = _signs(piece)
+        quotes, *opened = _signs(piece)
         before, text = self.depth, self.text
-        self.text ^= (len(signs) - 1) & 1
+        self.text ^= quotes & 1
         closes = not self.text  # the brace after the piece stands outside strings
-        self.depth = max(0, before + _balance(signs[text::2]))
+        self.depth = before + opened[text]
         if not before and not self.depth:
             return None  # between records, or after the last one
         if not before:

@@ -505,22 +505,34 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
-def _as_array(batches):
-    """The objects of one task as the lines of one JSON array."""
-    import pyarrow as pa
+def _as_array(files: int):
+    """The objects of one task as the lines of one JSON array, or of its part, if an array has several files."""
 
-    empty = True
-    for batch in batches:
-        lines = [("[" if empty and i == 0 else ",") + text for i, text in enumerate(batch.column(0).to_pylist())]
-        empty = empty and not lines
-        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-    yield pa.RecordBatch.from_arrays([pa.array(["[]" if empty else "]"], pa.string())], ["value"])
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
 
+        part = TaskContext.get().partitionId() % files
+        begin, empty = part == 0, True
+        for batch in batches:
+            lines = [("[" if begin and empty and i == 0 else ",") + text for i, text in enumerate(batch.column(0).to_pylist())]
+            empty = empty and not lines
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        end = ("[" if begin and empty else "") + ("]" if part == files - 1 else "")
+        yield pa.RecordBatch.from_arrays([pa.array([end] if end else [], pa.string())], ["value"])
 
-def _land(rows: DataFrame, path: str, files: int = 8) -> None:
-    """Write rows as JSON arrays, each by one task, row by row."""
-    objects = rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).repartition(files)
-    objects.mapInArrow(_as_array, "value string").write.text(path)
+    return run
+
+
+#: Rows of an array that one task writes.
+_ARRAY_ROWS = 500_000
+
+
+def _land(rows: DataFrame, path: str, arrays: int = 8) -> None:
+    """Write rows as JSON arrays, row by row. An array of many rows is divided among tasks: its files are the array, one after the other."""
+    files = 1 + rows.count() // (arrays * _ARRAY_ROWS)
+    objects = rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).repartition(arrays * files)
+    objects.mapInArrow(_as_array(files), "value string").write.text(path)
 
 
 @_on_feed(_gkg("SELECT * FROM news_gkg"))
@@ -533,10 +545,10 @@ def json_slices(feed: Feed) -> DataFrame:
 
 @_on_feed(_events("SELECT GLOBALEVENTID, SQLDATE, EventCode, AvgTone, SOURCEURL FROM news_events"))
 def json_one_array(feed: Feed) -> DataFrame:
-    """All events as one array in one file, which is read in blocks."""
+    """All events as one array, which is read in blocks: in one file, or in several one after the other where one task could not write it."""
     spark = feed.events.sparkSession
     path = _folder(spark, "array")
-    _land(feed.events, path, files=1)
+    _land(feed.events, path, arrays=1)
     return sources.read_json(spark, path, "events").select(EVENT, "SQLDATE", "EventCode", "AvgTone", "SOURCEURL")
 
 
@@ -634,6 +646,10 @@ def _on_stream(sql: str):
     return decorate
 
 
+#: Rows that one file of a slice or batch holds, so that many tasks write and read it.
+_FILE_ROWS = 200_000
+
+
 def _arriving(rows: DataFrame, folder: str, batches: int, order: str) -> DataFrame:
     """Rows as a stream of several batches, in order of an expression but for one row in five, which comes a batch later."""
     spark = rows.sparkSession
@@ -793,10 +809,6 @@ for _n in ("stream_escalation_speeds", "stream_first_hours"):
 # --- results brought up to date slice by slice -----------------------------------------------
 
 
-#: Rows that one file of a slice or batch holds, so that many tasks write and read it.
-_FILE_ROWS = 200_000
-
-
 def _in_three_slices(feed: Feed, root: str) -> Feed:
     """Streams of the tables that arrive in three slices, each of as many files as its rows need. Rows are dealt in turn, so that copies of an id come in different ones."""
     streams = {}

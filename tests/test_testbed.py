@@ -1,6 +1,8 @@
 """How the registered queries build their input: by many tasks, whatever its size."""
 
-from newsatlas import schemas, streaming
+import json
+
+from newsatlas import schemas, sources, streaming
 from newsatlas.plans import find
 from newsatlas.testbed import checks
 
@@ -43,3 +45,14 @@ def test_a_slice_is_held_in_plain_columns(feed, tmp_path, monkeypatch):
         arrivals, f"{tmp_path}/states", f"{tmp_path}/history", f"{tmp_path}/check", analyses=["top_countries_by_day"]
     ).awaitTermination()
     assert held[:3] == [(t, True, s.names) for t, s in schemas.TABLES.items()]
+
+
+def test_files_of_a_large_array_are_one_array(spark, make, tmp_path, monkeypatch):
+    monkeypatch.setattr(checks, "_ARRAY_ROWS", 30)
+    rows = make("events", *events(100))
+    checks._land(rows, f"{tmp_path}/array", arrays=1)
+    assert len(files(tmp_path / "array")) == 4
+    text = "".join(f.read_text() for f in files(tmp_path / "array"))
+    assert sorted(o["GLOBALEVENTID"] for o in json.loads(text)) == list(range(100))
+    got = sources.read_json(spark, f"{tmp_path}/array", "events")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, rows.collect()))
