@@ -35,7 +35,7 @@ def test_slices_have_many_files(spark, feed, tmp_path, monkeypatch):
 
 
 def test_a_slice_is_held_in_plain_columns(feed, tmp_path, monkeypatch):
-    """As structs of all tables, rows of a slice took ten times the memory, and a task read them all for one table."""
+    """As structs of all tables in one frame, they were not compressed, and a task read those of all tables for one of them."""
     held = []
     monkeypatch.setattr(streaming.cycle, "advance", lambda part, name, arrived, *_: held.extend(
         (t, getattr(arrived, t).is_cached, getattr(arrived, t).columns) for t in schemas.TABLES) or arrived.events.limit(0))
