@@ -97,6 +97,26 @@ def test_breaking_hours_forget_after_a_while(spark, make, arrive, drain):
     assert sorted(starts) == [(1, 0, 1), (1, 7, 2), (2, 6, 2)]
 
 
+@pytest.mark.parametrize("shares", [1, 3])
+def test_breaking_hours_of_events_that_share_their_state(spark, make, arrive, tmp_path, monkeypatch, shares):
+    monkeypatch.setattr(streaming.bursts, "_SHARES", shares)
+
+    def at(hours, event):
+        return {"GLOBALEVENTID": event, "MentionTimeDate": packed(START + timedelta(hours=hours)), "MentionSourceName": f"s{event}"}
+
+    first = [at(n / 100 + m / 10, n) for n in range(40) for m in range(4)] + [at(1.2, 0), at(1.3, 1)]
+    # Event 0 ends, event 50 begins meanwhile, 1 comes again while it is remembered, 2 when it is forgotten.
+    batches = [first[::2], first[1::2], [at(2, 50), at(2.1, 1)], [at(20, 51)], [at(30, 2), at(30.5, 2)], [at(40, 52)], [at(41, 52)]]
+    query = streaming.breaking_hours(arrive("mentions", batches), "1 hour", keep_hours=6).writeStream.option(
+        "checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start(f"{tmp_path}/out", format="parquet")
+    query.awaitTermination()
+    got = sorted((r.GLOBALEVENTID, (r["first"] - START).total_seconds() / 3600, r.mentions, r.sources)
+                 for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    expected = [(n, n / 100, 4, 1) for n in range(40)] + [(2, 30, 2, 1), (50, 2, 1, 1), (51, 20, 1, 1)]
+    assert got == sorted(expected)
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= shares
+
+
 def test_escalation_windows_equal_batch_counts(spark, feed, mentions, arrive, drain):
     stream = arrive("mentions", batches_of(mentions, 150))
     got = drain(streaming.escalation_windows(stream), "escalation")
