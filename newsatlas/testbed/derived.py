@@ -52,18 +52,19 @@ def _longitude(j: str) -> str:
 
 def news_events(base: DataFrame) -> DataFrame:
     """One event per base row; every fiftieth comes again a day later with another code and link."""
+    # Packed in the generator, the date is a plain column; otherwise Spark repeats its formatting wherever an analysis refers to it.
+    days = [f"struct({n}, cast(date_format(ts + make_dt_interval({n}), 'yyyyMMdd') AS bigint))" for n in (0, 1)]
     rows = base.selectExpr(
         "event_id AS k",
         "user_id AS u",
         "event_type AS kind",
-        "ts",
-        "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS again",
-    ).withColumn("ts", F.expr("ts + make_dt_interval(again)"))
+        f"inline(CASE WHEN event_id % 50 = 0 THEN array({days[0]}, {days[1]}) ELSE array({days[0]}) END) AS (again, day)",
+    )
     quad = " ".join(f"WHEN '{name}' THEN {value}" for name, value in QUAD_CLASS.items())
     root = "lpad(cast(1 + k % 20 AS string), 2, '0')"
     columns = {
         "GLOBALEVENTID": "k",
-        "SQLDATE": "cast(date_format(ts, 'yyyyMMdd') AS bigint)",
+        "SQLDATE": "day",
         "QuadClass": f"CASE kind {quad} END",
         "ActionGeo_CountryCode": pick(COUNTRIES, "u"),
         "ActionGeo_FullName": unless(13, "k", "concat('Place ', u)"),
@@ -98,19 +99,22 @@ def news_events(base: DataFrame) -> DataFrame:
 
 def news_mentions(base: DataFrame) -> DataFrame:
     """Two mentions per base row: one in a burst of twenty, one of fifty events mentioned all along."""
+    moment = (
+        "CASE WHEN event_id % 101 = 0 THEN 20249905120000 WHEN event_id % 103 = 0 THEN NULL "
+        "ELSE cast(date_format(ts, 'yyyyMMddHHmmss') AS bigint) END"
+    )
+    # Packed in the generator, as in the events.
+    twice = f"inline(array(struct(event_id div 20, {moment}), struct(event_id % 50, {moment}))) AS (id, moment)"
     columns = {
-        "GLOBALEVENTID": "explode(array(event_id div 20, event_id % 50))",
-        "MentionTimeDate": (
-            "CASE WHEN event_id % 101 = 0 THEN 20249905120000 WHEN event_id % 103 = 0 THEN NULL "
-            "ELSE cast(date_format(ts, 'yyyyMMddHHmmss') AS bigint) END"
-        ),
+        "GLOBALEVENTID": "id",
+        "MentionTimeDate": "moment",
         "MentionSourceName": (
             "CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 47 = 0 THEN '' "
             "ELSE concat('src', user_id % 40) END"
         ),
         "MentionDocTone": unless(31, "event_id", "(5 * event_id % 161) / 8D - 10"),
     }
-    return _select(base, columns)
+    return _select(base.selectExpr("event_id", "user_id", twice), columns)
 
 
 def _coordinate(value: str, j: str) -> str:
