@@ -1,7 +1,8 @@
 """Escalation and breaking news with state of their own, kept in Spark's state store and ended by timers.
 
 Both reduce the mentions by a first aggregation, whose tasks share the mentions of a busy event among them. Only its rows, few for each event, meet
-the state of their event. State is held entry by entry; what a batch doesn't touch is neither read nor written.
+the state of their event. That is one small value, read and written once for each batch that has rows of the event; what a batch doesn't touch is neither
+read nor written. Every access is a message to the JVM, and takes longer than the work of an event.
 """
 
 from __future__ import annotations
@@ -10,9 +11,8 @@ import sys
 from collections.abc import Iterator
 from datetime import timedelta
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from newsatlas.functions import feed_timestamp, feed_timestamp_prefix
@@ -35,44 +35,39 @@ def check_state_store(spark: SparkSession) -> None:
 
 
 class _Speed(StatefulProcessor):
-    """One event: the counts of its last 25 hours, and the sum at its newest hour."""
+    """One event: the counts of its last 25 hours, the sum at its newest hour, and when it will be forgotten."""
 
     def __init__(self, keep_seconds: int):
         self.keep = keep_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.hours = handle.getMapState("hours", "hour long", "n long")
-        self.newest = handle.getValueState("newest", "hour long, total long")
+        self.day = handle.getValueState("day", "hours array<long>, counts array<long>, total long, ends long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         arrived: dict[int, int] = {}
-        for part in rows:
-            for hour, n in zip(part["hour"].tolist(), part["n"].tolist()):
-                arrived[hour] = arrived.get(hour, 0) + n
-        hours = {k[0]: v[0] for k, v in self.hours.iterator()} if self.newest.exists() else {}
-        before = self.newest.get()[1] if self.newest.exists() else 0
+        for row in rows:
+            arrived[row.hour] = arrived.get(row.hour, 0) + row.n
+        state = self.day.get()
+        hours = dict(zip(state[0], state[1])) if state else {}
+        before = state[2] if state else 0
         out = []
         for hour, n in sorted(arrived.items()):  # hours come when they are over, so in order over all batches
             for old in [h for h in hours if h < hour - _DAY]:
                 del hours[old]
-                if old not in arrived:
-                    self.hours.removeKey((old,))
             hours[hour] = n
             total = sum(hours.values())
-            out.append((key[0], hour, n, total, before))
+            out.append(Row(**{EVENT: key[0], "hour": hour, "mentions": n, "mentions_24h": total, "mentions_24h_before": before}))
             before = total
-        for hour in arrived.keys() & hours.keys():
-            self.hours.updateValue((hour,), (hours[hour],))
-        self.newest.update((max(arrived), before))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer((max(arrived) + _HOUR + self.keep) * 1000)
-        yield pd.DataFrame(out, columns=[EVENT, "hour", "mentions", "mentions_24h", "mentions_24h_before"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.hours.clear()
-        self.newest.clear()
+        ends = (max(arrived) + _HOUR + self.keep) * 1000
+        self.day.update((list(hours), list(hours.values()), before, ends))
+        if state:
+            self.handle.deleteTimer(state[3])
+        self.handle.registerTimer(ends)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.day.clear()
         return iter(())
 
     def close(self) -> None:
@@ -95,7 +90,7 @@ def escalation_speeds(mentions: DataFrame, delay: str = "1 hour", keep: timedelt
         .agg(F.count("*").alias("n"))
         .select(EVENT, F.window_time("window").alias("moment"), F.unix_timestamp("window.start").alias("hour"), "n")
     )
-    rows = hourly.groupBy(EVENT).transformWithStateInPandas(
+    rows = hourly.groupBy(EVENT).transformWithState(
         _Speed(int(keep.total_seconds())),
         f"{EVENT} long, hour long, mentions long, mentions_24h long, mentions_24h_before long",
         "Append",
@@ -114,36 +109,37 @@ class _FirstHour(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.hour = handle.getValueState("hour", "first long, mentions long, over boolean")
-        self.sources = handle.getMapState("sources", "source string", "seen boolean")
+        self.hour = handle.getValueState("hour", "first long, mentions long, sources array<string>, over boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self.hour.get() if self.hour.exists() else None
-        if state and state[2]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        state = self.hour.get()
+        if state and state[3]:
             return iter(())  # the hour is over: its mentions are counted
-        # Seconds come when the watermark has passed them, so that no later batch has an earlier one.
-        arrived = pd.concat(list(rows))
-        first = state[0] if state else int(arrived["second"].min())
-        inside = arrived[arrived["second"] < first + _HOUR]
-        mentions = (state[1] if state else 0) + int(inside["n"].sum())
-        for source in inside["source"].unique():
-            if not self.sources.containsKey((source,)):
-                self.sources.updateValue((source,), (True,))
-        self.hour.update((first, mentions, False))
+        # Seconds come when the watermark has passed them, so that no later batch has an earlier one. Within a batch they are in no order.
+        first = state[0] if state else None
+        counts: dict[int, int] = {}
+        seen: dict[str, int] = {}
+        for row in rows:
+            second = row.second
+            if first is None or second < first:
+                first = second
+            if second < first + _HOUR:
+                counts[second] = counts.get(second, 0) + row.n
+                seen[row.source] = min(second, seen.get(row.source, second))
+        mentions = (state[1] if state else 0) + sum(n for second, n in counts.items() if second < first + _HOUR)
+        sources = {name for name, second in seen.items() if second < first + _HOUR}.union(state[2] if state else ())
+        self.hour.update((first, mentions, sorted(sources), False))
         if not state:
             self.handle.registerTimer((first + _HOUR) * 1000)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        first, mentions, over = self.hour.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        first, mentions, sources, over = self.hour.get()
         if over:
             self.hour.clear()
             return
-        yield pd.DataFrame(
-            {EVENT: [key[0]], "first": [first], "mentions": [mentions], "sources": [sum(1 for _ in self.sources.keys())]}
-        )
-        self.sources.clear()
-        self.hour.update((first, mentions, True))
+        yield Row(**{EVENT: key[0], "first": first, "mentions": mentions, "sources": len(sources)})
+        self.hour.update((first, mentions, [], True))
         self.handle.registerTimer((first + _HOUR + self.keep) * 1000)
 
     def close(self) -> None:
@@ -155,7 +151,7 @@ def first_hours(mentions: DataFrame, delay: str = "15 minutes", keep: timedelta
 
     The same rows as :func:`newsatlas.streaming.breaking_hours`, for events of any size. Mentions are first counted by event, second and source,
     which divides even the mentions of one event among all tasks; an event's state sees one row for each of these. It holds three numbers and
-    an entry for each source of the hour, none of which is written again by later batches. The state of an event that is
+    the names of the sources of the hour, which go when it is over. The state of an event that is
     over has a time to live, ``keep``, as its stored results have: mentions until then do not begin another hour.
     """
     check_state_store(mentions.sparkSession)
@@ -172,7 +168,7 @@ def first_hours(mentions: DataFrame, delay: str = "15 minutes", keep: timedelta
         .agg(F.count("*").alias("n"))
         .select(EVENT, F.window_time("window").alias("moment"), F.unix_timestamp("window.start").alias("second"), "source", "n")
     )
-    rows = counted.groupBy(EVENT).transformWithStateInPandas(
+    rows = counted.groupBy(EVENT).transformWithState(
         _FirstHour(int(keep.total_seconds())),
         f"{EVENT} long, first long, mentions long, sources long",
         "Append",

@@ -5,7 +5,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from newsatlas import schemas, streaming
 from newsatlas.plans.bursts import breaking_news, mention_escalation_24h
@@ -171,3 +171,48 @@ def test_state_of_idle_events_goes_after_the_retention_of_results(rocksdb, arriv
 def test_the_state_store_is_checked(make):
     with pytest.raises(ValueError, match="RocksDB"):
         streaming.first_hours(make("mentions"))
+
+
+class _Handle:
+    """State of one event that counts how often it is reached."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, *_):
+        return self
+
+    def __getattr__(self, name):
+        def reach(*arguments):
+            self.calls += 1
+            if name == "get":
+                return self.value
+            if name in ("update", "clear"):
+                self.value = arguments[0] if arguments else None
+            elif name not in ("registerTimer", "deleteTimer"):
+                raise AttributeError(name)
+
+        return reach
+
+
+def test_state_of_a_first_hour_is_reached_a_few_times_whatever_the_sources():
+    handle, processor = _Handle(), streaming.stateful._FirstHour(100)
+    processor.init(handle)
+    rows = [Row(second=5000 - n, source=f"s{n % 40}", n=2) for n in range(4000)]
+    assert list(processor.handleInputRows((1,), iter(rows), None)) == [] and handle.calls == 3
+    later = [Row(second=4601, source="s1", n=1), Row(second=4602, source="new", n=1)]
+    list(processor.handleInputRows((1,), iter([Row(second=1001 + 3600, source="late", n=1), *later]), None))
+    assert handle.calls == 5
+    assert [tuple(r) for r in processor.handleExpiredTimer((1,), None, None)] == [(1, 1001, 2 * 3600, 40)]
+    list(processor.handleInputRows((1,), iter(rows), None))  # the hour is over
+    assert handle.value == (1001, 7200, [], True)
+    assert list(processor.handleExpiredTimer((1,), None, None)) == [] and handle.value is None
+
+
+def test_state_of_speeds_is_reached_a_few_times_whatever_the_hours():
+    handle, processor = _Handle(), streaming.stateful._Speed(100)
+    processor.init(handle)
+    out = list(processor.handleInputRows((1,), iter([Row(hour=3600 * h, n=h + 1) for h in range(20)]), None))
+    assert handle.calls == 3 and tuple(out[-1]) == (1, 3600 * 19, 20, 210, 190)
+    out = list(processor.handleInputRows((1,), iter([Row(hour=3600 * 26, n=5)]), None))
+    assert handle.calls == 7 and [tuple(r) for r in out] == [(1, 3600 * 26, 5, 210 - 3 + 5, 210)]
