@@ -658,11 +658,15 @@ def _arriving(rows: DataFrame, folder: str, batches: int, order: str) -> DataFra
     late = F.when(F.pmod(F.xxhash64(*rows.columns), F.lit(5)) == 0, 1).otherwise(0)
     dealt = rows.withColumn("k", F.expr(order)).join(placed, "k").withColumn("batch", F.least(F.col("batch") + late, F.lit(batches)))
     dealt = dealt.drop("k").persist()
+    files = 1 + dealt.count() // (batches * _FILE_ROWS)
+    stored, nothing = spark.read.schema(rows.schema), spark.createDataFrame([], rows.schema).coalesce(1)
     for n in range(batches + 1):
-        # One file after the other, as the reader takes them in order of their times.
-        dealt.filter(F.col("batch") == n).drop("batch").coalesce(1).write.mode("append").parquet(folder)
+        # One batch after the other, as the reader takes files in order of their times. All batches have as many files; if rows are too few, some without rows.
+        dealt.filter(F.col("batch") == n).drop("batch").repartition(files).write.mode("append").parquet(folder)
+        for _ in range((n + 1) * files - len(stored.parquet(folder).inputFiles())):
+            nothing.write.mode("append").parquet(folder)
     dealt.unpersist()
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _on_batches(sql: str):

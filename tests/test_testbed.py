@@ -1,10 +1,12 @@
 """How the registered queries build their input: by many tasks, whatever its size."""
 
 import json
+from datetime import datetime
 
 from newsatlas import schemas, sources, streaming
+from newsatlas.functions import feed_date, feed_timestamp_prefix
 from newsatlas.plans import find
-from newsatlas.testbed import checks
+from newsatlas.testbed import checks, derived
 
 
 def files(folder):
@@ -56,3 +58,37 @@ def test_files_of_a_large_array_are_one_array(spark, make, tmp_path, monkeypatch
     assert sorted(o["GLOBALEVENTID"] for o in json.loads(text)) == list(range(100))
     got = sources.read_json(spark, f"{tmp_path}/array", "events")
     assert sorted(map(repr, got.collect())) == sorted(map(repr, rows.collect()))
+
+
+def test_batches_have_many_files(spark, tmp_path, monkeypatch):
+    """One task wrote a batch, and as few read it."""
+    monkeypatch.setattr(checks, "_FILE_ROWS", 20)
+    rows = spark.range(0, 400, 1, 4).selectExpr("id", "id div 100 AS part")
+    stream = checks._arriving(rows, f"{tmp_path}/base", 4, "part")
+    assert len(files(tmp_path / "base")) == 5 * 6
+    taken = []
+    stream.writeStream.foreachBatch(lambda batch, n: taken.append(sorted(batch.toPandas()["part"].unique().tolist()))).option(
+        "checkpointLocation", f"{tmp_path}/check"
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert taken == [[0], [0, 1], [1, 2], [2], [3]] and stream.sparkSession.read.parquet(f"{tmp_path}/base").count() == 400
+
+
+def test_batches_without_enough_rows_keep_their_places(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checks, "_FILE_ROWS", 1)
+    rows = spark.range(0, 8, 1, 1).selectExpr("id", "1 AS part")
+    stream = checks._arriving(rows, f"{tmp_path}/base", 4, "part")
+    taken = []
+    stream.writeStream.foreachBatch(lambda batch, n: taken.append(batch.count())).option(
+        "checkpointLocation", f"{tmp_path}/check"
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert len(taken) == 5 and sum(taken) == 8 and taken[2:] == [0, 0, 0]
+
+
+def test_packed_moments_are_formatted_once(spark):
+    """Spark put the formatting in the place of every reference to the packed number."""
+    base = spark.createDataFrame([(1, datetime(2024, 1, 1), 2, "view")], "event_id long, ts timestamp, user_id long, event_type string")
+    mentions = derived.news_mentions(base).select(feed_timestamp_prefix("MentionTimeDate").alias("t")).filter("t IS NOT NULL")
+    events = derived.news_events(base).select(feed_date("SQLDATE").alias("day")).filter("day IS NOT NULL")
+    for frame in (mentions, events):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("date_format") <= 3
+        assert frame.count() > 0
